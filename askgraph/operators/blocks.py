@@ -92,18 +92,13 @@ def blocked_join(
     key: str,
     left_by: str,
     right_by: str,
-    how: str = "inner",
     block: int = BLOCK,
 ) -> DataFrame:
-    """Many-to-many equi-join on ``key`` (inner or left) in blocks of either side.
-
-    A left join may repeat the unmatched row of a hot key, once per right block
-    that happens to be empty. Callers only ask whether there is such a row.
-    """
+    """Inner many-to-many equi-join on ``key`` in blocks of either side."""
     sizes_left = left.groupBy(key).agg(F.count("*").alias("_left"))
     sizes_right = right.groupBy(key).agg(F.count("*").alias("_right"))
     big = (
-        sizes_left.join(sizes_right, key, "left")
+        sizes_left.join(sizes_right, key)
         .where((F.col("_left") > block) | (F.col("_right") > block))
         .select(
             key,
@@ -126,7 +121,7 @@ def blocked_join(
     on = [key, "_block_left", "_block_right"]
     return (
         cells(left, left_by, "_left", "_right")
-        .join(cells(right, right_by, "_right", "_left"), on, how)
+        .join(cells(right, right_by, "_right", "_left"), on)
         .drop("_block_left", "_block_right")
     )
 

@@ -263,7 +263,7 @@ def circles(weights: DataFrame, requests: DataFrame, block: int = BLOCK) -> Data
     asked = weights.join(requests.select("user_id").distinct(), "user_id", "left_semi")
     mine = asked.select("question_id", "user_id", F.col("weight").alias("own"))
     others = weights.select("question_id", F.col("user_id").alias("neighbor_id"), "weight")
-    met = blocked_join(mine, others, "question_id", "user_id", "neighbor_id", block=block)
+    met = blocked_join(mine, others, "question_id", "user_id", "neighbor_id", block)
     return (
         met.where(F.col("user_id") != F.col("neighbor_id"))
         .groupBy("user_id", "neighbor_id")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from askgraph.operators import feed as feeds
 from askgraph.operators import ingest, network, recommend, reports
-from askgraph.session import shared_folder, staged
+from askgraph.session import new_path, staged
 from askgraph.sources import corpus
 from askgraph.sources.tables import read_table, write_documents, write_table
 
@@ -113,7 +113,8 @@ def _documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def _document_digest(documents: DataFrame) -> DataFrame:
     def text(entry: Column) -> Column:
-        return F.concat_ws(":", entry["question_id"], entry["neighbor_id"], entry["weight"].cast("string"))
+        weight = entry["weight"].cast("string")
+        return F.concat_ws(":", entry["question_id"], entry["neighbor_id"], weight)
 
     return documents.select(
         "_id",
@@ -130,8 +131,8 @@ def recommendations(spark: SparkSession, folder: str) -> DataFrame:
 def stored_recommendations(spark: SparkSession, folder: str) -> DataFrame:
     """Documents saved as compressed JSON and read back."""
     documents = _documents(spark, folder)
-    path = f"{shared_folder(spark)}/documents"
-    write_documents(documents, "json", mode="overwrite", path=path, compression="gzip")
+    path = new_path(spark, "documents")
+    write_documents(documents, "json", path=path, compression="gzip")
     return _document_digest(spark.read.schema(documents.schema).json(path))
 
 
@@ -196,7 +197,7 @@ def ingest_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_posts(spark: SparkSession, folder: str) -> DataFrame:
     """Clean posts written as a Parquet table and read back."""
-    base = f"{shared_folder(spark)}/clean"
+    base = new_path(spark, "clean")
     write_table(_clean_posts(spark, folder), base, "posts")
     return _tags_as_text(read_table(spark, base, "posts"))
 

@@ -63,12 +63,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     For intermediate results that are read several times: the work is not
     repeated per reader, and a lost executor costs a read and not a recompute.
     """
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
