@@ -46,7 +46,8 @@ def run_analysis(
     question is closed is always looked up in all of them.
     """
     users, posts = read_table(spark, tables, "users"), read_table(spark, tables, "posts")
-    accepted = network.accepted_answers(posts)
+    write_table(network.accepted_answers(posts), results, "accepted")
+    accepted = read_table(spark, results, "accepted")
     used = posts if fraction >= 1.0 else reports.sample_by_id(posts, fraction)
 
     write_table(network.participation(used, accepted), results, "weights")

@@ -27,8 +27,9 @@ def _posts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _weights(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Weights, staged because links, bags and sizes all start from them."""
+    """Weights and closed questions, staged because all later steps start from them."""
     posts, accepted = _posts(spark, folder)
+    accepted = staged(spark, accepted, "accepted")
     return staged(spark, network.participation(posts, accepted), "weights"), accepted
 
 
@@ -76,7 +77,7 @@ def merged_question_weight_maps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_links(spark: SparkSession, folder: str) -> DataFrame:
-    return network.user_links(network.participation(*_posts(spark, folder)))
+    return _links(_weights(spark, folder)[0])
 
 
 def user_links_from_maps(spark: SparkSession, folder: str) -> DataFrame:
