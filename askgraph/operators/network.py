@@ -109,8 +109,10 @@ def _chunks_of_question(rows: DataFrame, chunk: int) -> DataFrame:
     long = rows.groupBy("question_id").agg(F.count("*").alias("_n"))
     long = long.where(F.col("_n") > chunk)
     sized = spread_lookup(rows, long, "question_id", F.col("user_id"), "left")
-    chunks = F.coalesce(F.ceil(F.col("_n") / F.lit(chunk)), F.lit(1))
-    return sized.withColumn("chunk", F.pmod(F.xxhash64("user_id"), chunks).cast("int"))
+    chunks = F.coalesce(F.ceil(F.col("_n") / F.lit(chunk)), F.lit(1)).cast("int")
+    return sized.withColumn("chunks", chunks).withColumn(
+        "chunk", F.pmod(F.xxhash64("user_id"), F.col("chunks")).cast("int")
+    )
 
 
 def _weight_map(kept: Column | None = None) -> Column:
@@ -122,11 +124,11 @@ def question_weight_maps(weights: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """The same as a map ``user -> weight`` per question.
 
     Questions with more than ``chunk`` users get several maps with disjoint
-    users, numbered by ``chunk``.
+    users, numbered by ``chunk`` out of ``chunks``.
     """
     return (
         _chunks_of_question(weights, chunk)
-        .groupBy("question_id", "chunk")
+        .groupBy("question_id", "chunks", "chunk")
         .agg(_weight_map().alias("users"))
     )
 
@@ -236,17 +238,33 @@ def linked_users(weights: DataFrame) -> DataFrame:
 
 
 def user_links_from_maps(maps: DataFrame) -> DataFrame:
-    """The same links by map functions, one map of users per question.
+    """The same links by map functions, from ``question_weight_maps``.
 
     For each user the rest of the map, every value raised by the user's own
-    weight, holds the user's links through that question. Needs questions in a
-    single chunk; a longer one fails the job.
+    weight, holds the user's links through that question. Where a question has
+    several maps, each meets each, every two of them in a task of their own.
     """
-    single = F.when(F.col("chunk") == 0, F.col("users"))
-    whole = F.coalesce(single, F.raise_error("question in several chunks").cast("map<string,bigint>"))
-    each = maps.select(F.explode(whole).alias("user_id", "own"), whole.alias("users"))
-    others = F.map_filter("users", lambda u, _: u != F.col("user_id"))
-    raised = F.transform_values(others, lambda _, w: w + F.col("own"))
+    single = maps.where(F.col("chunks") == 1).select(
+        F.col("users").alias("mine"), F.col("users").alias("theirs")
+    )
+    several = maps.where(F.col("chunks") > 1)
+    counterpart = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    mine = several.select(
+        "question_id",
+        F.col("chunk").alias("_mine"),
+        counterpart.alias("_theirs"),
+        F.col("users").alias("mine"),
+    )
+    theirs = several.select(
+        "question_id",
+        counterpart.alias("_mine"),
+        F.col("chunk").alias("_theirs"),
+        F.col("users").alias("theirs"),
+    )
+    met = mine.join(theirs, ["question_id", "_mine", "_theirs"]).select("mine", "theirs")
+    each = single.unionByName(met).select(F.explode("mine").alias("user_id", "own"), "theirs")
+    others = F.map_filter("theirs", lambda user, _: user != F.col("user_id"))
+    raised = F.transform_values(others, lambda _, weight: weight + F.col("own"))
     return (
         each.select("user_id", F.explode(raised).alias("neighbor_id", "weight"))
         .groupBy("user_id", "neighbor_id")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from askgraph.operators import feed as feeds
 from askgraph.operators import ingest, network, recommend, reports
+from askgraph.operators.blocks import BLOCK
 from askgraph.session import new_path, staged
 from askgraph.sources import corpus
 from askgraph.sources.tables import read_table, write_documents, write_table
@@ -82,7 +83,7 @@ def user_links(spark: SparkSession, folder: str) -> DataFrame:
 
 def user_links_from_maps(spark: SparkSession, folder: str) -> DataFrame:
     weights = network.question_user_weights(*_posts(spark, folder))
-    return network.user_links_from_maps(network.question_weight_maps(weights))
+    return network.user_links_from_maps(network.question_weight_maps(weights, chunk=BLOCK))
 
 
 def circle_networks(spark: SparkSession, folder: str) -> DataFrame:
