@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askgraph.llm import binary, mixing, packing, top_k
+from askgraph.llm import binary, mixing, packing, simhash, top_k
 from askgraph.llm.common import table
 
 
@@ -29,9 +29,13 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_best_fit_packing, op4_mixing, op5_token_matrices, op7_exact_top_k)
+    for f in (op2_best_fit_packing, op4_mixing, op5_token_matrices, op7_exact_top_k, op8_simhash)
 }
 
 ORACLES: dict[str, str] = {"op7_exact_top_k": top_k.SQL}
