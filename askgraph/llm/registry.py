@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askgraph.llm import binary, mixing, packing, simhash, top_k
+from askgraph.llm import binary, covertree, mixing, packing, simhash, top_k
 from askgraph.llm.common import table
 
 
+def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_best_fit(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_best_fit_packing, op4_mixing, op5_token_matrices, op7_exact_top_k, op8_simhash)
+    for f in (op1_cover_tree, op2_best_fit_packing, op4_mixing, op5_token_matrices, op7_exact_top_k, op8_simhash)
 }
 
-ORACLES: dict[str, str] = {"op7_exact_top_k": top_k.SQL}
+ORACLES: dict[str, str] = {"op1_cover_tree": covertree.SQL, "op7_exact_top_k": top_k.SQL}
