@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askgraph.llm import binary, covertree, mixing, packing, simhash, top_k
+from askgraph.llm import binary, covertree, mixing, packing, simhash, top_k, toxicity
 from askgraph.llm.common import table
 
 
@@ -37,9 +37,21 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_cover_tree, op2_best_fit_packing, op4_mixing, op5_token_matrices, op7_exact_top_k, op8_simhash)
+    for f in (
+        op1_cover_tree,
+        op2_best_fit_packing,
+        op4_mixing,
+        op5_token_matrices,
+        op7_exact_top_k,
+        op8_simhash,
+        op9_toxicity,
+    )
 }
 
 ORACLES: dict[str, str] = {"op1_cover_tree": covertree.SQL, "op7_exact_top_k": top_k.SQL}
