@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askgraph.llm import binary, covertree, mixing, packing, simhash, top_k, toxicity
+from askgraph.llm import binary, covertree, mixing, packing, pii, secrets_scan, simhash, top_k, toxicity
 from askgraph.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op5_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary.digest(binary.packed_matrices(table(spark, sf_dir, "documents")))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.exact_top_k(
         table(spark, sf_dir, "embeddings"), is_query=F.pmod("vec_id", F.lit(20)) == 0
@@ -41,6 +45,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -48,9 +56,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_best_fit_packing,
         op4_mixing,
         op5_token_matrices,
+        op6_secret_scan,
         op7_exact_top_k,
         op8_simhash,
         op9_toxicity,
+        op10_personal_data,
     )
 }
 
