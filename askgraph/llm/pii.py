@@ -236,7 +236,8 @@ def find_personal_data(
     Returns doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of the base
     spans as kind:start:end by start, then kind, comma-joined; positions in code
     points, end exclusive) and spans (base ones and those of other kinds that
-    the classifier gives at least ``accept``, joined likewise).
+    the classifier gives at least ``accept`` and that overlap no base span, joined
+    likewise).
 
     A null text counts as empty. Null and repeated doc_ids are rows like others;
     repeated texts count as often as they occur in the estimates. Without any
@@ -257,7 +258,12 @@ def find_personal_data(
     if patterns:
         estimate(patterns)
         weights = fit_classifier(patterns)
-        more = F.filter(F.concat(*KINDS[4:]), lambda s: _score(weights, s) >= accept)
+        base = F.concat(*BASE)
+        more = F.filter(
+            F.concat(*KINDS[4:]),
+            lambda s: (_score(weights, s) >= accept)
+            & ~F.exists(base, lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])),
+        )
 
     def plain(spans: Column) -> Column:
         return F.transform(
