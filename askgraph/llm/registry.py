@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askgraph.llm import binary, covertree, mixing, packing, pii, secrets_scan, simhash, top_k, toxicity
+from askgraph.llm import binary, covertree, mixing, packing, pii, secrets_scan, simhash, substrings, top_k, toxicity
 from askgraph.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_best_fit(table(spark, sf_dir, "documents"))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_cover_tree,
         op2_best_fit_packing,
+        op3_substrings,
         op4_mixing,
         op5_token_matrices,
         op6_secret_scan,
@@ -64,4 +69,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op1_cover_tree": covertree.SQL, "op7_exact_top_k": top_k.SQL}
+ORACLES: dict[str, str] = {
+    "op1_cover_tree": covertree.SQL,
+    "op3_substrings": substrings.SQL,
+    "op7_exact_top_k": top_k.SQL,
+}
