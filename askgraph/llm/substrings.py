@@ -144,7 +144,8 @@ def shard_indexer(window: int, gram: int):
         ]
         text = np.fromiter((x for s in segments for x in (*s, 0)), "i8")
         index = FMIndex.build(text, vocabulary)
-        out = [("index", shard, None, None, None, None, index.dump(), None)]
+        # no nulls in whole-number columns: pandas would turn them into floats
+        out = [("index", shard, 0, 0, 0, 0, index.dump(), None)]
         hits = _search(index, segments, window, 2)
         for (k1, k2, start, line), hit in zip(
             rows[["_k1", "_k2", "start", "words"]].itertuples(index=False), hits, strict=True
