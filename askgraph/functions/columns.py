@@ -48,7 +48,12 @@ def split_tags(name: str) -> Column:
 
 
 def in_hash_sample(name: str, fraction: float, seed: int = 42) -> Column:
-    """Repeatable sample test: the same ids are in it on every run and engine."""
+    """Repeatable sample test: the same ids are in it on every run and engine.
+
+    The first 32 bits of a digest are compared with that share of their range.
+    """
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError(f"a fraction is between 0 and 1, not {fraction}")
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(name)))
     number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return number % 1000 < int(round(fraction * 1000))
+    return number < int(round(fraction * 2**32))

@@ -10,9 +10,11 @@ of them, keep a single block and are not copied.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from askgraph.session import shared_folder, staged
+
 BLOCK = 2000
 LOOKUP_SALTS = 16
 
@@ -94,7 +96,12 @@ def blocked_join(
     right_by: str,
     block: int = BLOCK,
 ) -> DataFrame:
-    """Inner many-to-many equi-join on ``key`` in blocks of either side."""
+    """Inner many-to-many equi-join on ``key`` in blocks of either side.
+
+    Keys beyond a block are found first, from two counts, and written once; both
+    sides are usually written tables, so nothing is joined twice for that.
+    Without such a key a plain join does.
+    """
     sizes_left = left.groupBy(key).agg(F.count("*").alias("_left"))
     sizes_right = right.groupBy(key).agg(F.count("*").alias("_right"))
     big = (
@@ -106,6 +113,9 @@ def blocked_join(
             _blocks("_right", block).alias("_right"),
         )
     )
+    big = staged(left.sparkSession, big, "hot-keys")
+    if big.isEmpty():
+        return left.join(right, key)
 
     def cells(side: DataFrame, by: str, own: str, opposite: str) -> DataFrame:
         count = {c: F.coalesce(F.col(c), F.lit(1)) for c in ("_left", "_right")}
@@ -136,3 +146,35 @@ def repeat_rows(rows: DataFrame, count: str, step: int = 10_000) -> DataFrame:
         .withColumn("_copy", F.explode(F.sequence(zero + 1, F.least(left, zero + step))))
         .drop(count, "_round", "_copy")
     )
+
+
+def with_positions(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """Add ``position``, the place of a row in its key's list by ``order``, from 0.
+
+    The rows are range-partitioned by key and order, so a key with a list of any
+    length spans as many partitions as needed. The position is the place in the
+    partition plus the key's rows in earlier partitions; those counts are at
+    most one row per key and partition. The sorted rows are read twice and must
+    be the same both times, hence the checkpoint.
+    """
+    shared_folder(rows.sparkSession)
+    placed = (
+        rows.repartitionByRange(F.col(key), *order)
+        .sortWithinPartitions(F.col(key), *order)
+        .withColumn("_slot", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright("_slot", 33))
+        .checkpoint()
+    )
+    parts = placed.groupBy(key, "_part").agg(
+        F.min("_slot").alias("_first"), F.count("*").alias("_rows")
+    )
+    earlier = (
+        Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0).cast("bigint"))
+    starts = parts.select(key, "_part", (before - F.col("_first")).alias("_shift"))
+    return (
+        placed.join(starts, [key, "_part"])
+        .withColumn("position", F.col("_slot") + F.col("_shift"))
+        .drop("_slot", "_part", "_shift")
+    )

@@ -10,8 +10,8 @@ from askgraph.operators.blocks import (
     blocked_join,
     key_sizes,
     self_join_cells,
-    spread_lookup,
     unordered_pairs,
+    with_positions,
     with_sizes,
 )
 from askgraph.schemas import ANSWER, QUESTION
@@ -19,7 +19,7 @@ from askgraph.schemas import ANSWER, QUESTION
 # What taking part in a question counts for.
 ASKED, ACCEPTED, ANSWERED = 4, 3, 2
 
-# Longest list or map put into one row; longer ones are cut into chunks.
+# Entries of a list or map in one row; longer ones come in several rows.
 CHUNK = 100_000
 
 
@@ -45,25 +45,31 @@ def interactions(posts: DataFrame) -> DataFrame:
 
 
 def user_question_bags(posts: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Every user's bag of questions, one array entry per post.
+    """Every user's sorted bag of questions, one array entry per post.
 
-    An owner of other post types only keeps a row with an empty bag. A bag of
-    more than ``chunk`` posts comes in several rows, numbered by ``chunk``, so
-    that no row grows with the data. Posts are dealt to chunks by their own id:
-    a user who posts to one question only is spread as well.
+    Bags come in chunks of ``chunk`` entries at every size, numbered by
+    ``chunk``: chunk n holds the places from n * chunk on, so the chunks of a
+    user in a row are the sorted bag, and no row grows with the data. An owner
+    of other post types only keeps one row with an empty bag.
     """
     entries = posts.select(
         F.col("ownerUserId").alias("user_id"), "id", _question_of_post().alias("question_id")
     )
-    long = entries.groupBy("user_id").agg(F.count("question_id").alias("_n"))
-    long = long.where(F.col("_n") > chunk)
-    sized = spread_lookup(entries, long, "user_id", F.col("id"), "left")
-    chunks = F.coalesce(F.ceil(F.col("_n") / F.lit(chunk)), F.lit(1))
-    return (
-        sized.withColumn("chunk", F.pmod(F.xxhash64("id"), chunks).cast("int"))
+    asked = entries.where(F.col("question_id").isNotNull())
+    placed = with_positions(asked, "user_id", [F.col("question_id"), F.col("id")])
+    bags = (
+        placed.withColumn("chunk", F.floor(F.col("position") / chunk).cast("int"))
         .groupBy("user_id", "chunk")
         .agg(F.sort_array(F.collect_list("question_id")).alias("questions"))
     )
+    nothing = F.array().cast("array<string>")
+    empty = (
+        entries.groupBy("user_id")
+        .agg(F.count("question_id").alias("_n"))
+        .where(F.col("_n") == 0)
+        .select("user_id", F.lit(0).alias("chunk"), nothing.alias("questions"))
+    )
+    return bags.unionByName(empty)
 
 
 def participation(posts: DataFrame, accepted: DataFrame) -> DataFrame:
@@ -105,13 +111,16 @@ def question_user_weights(posts: DataFrame, accepted: DataFrame) -> DataFrame:
 
 
 def _chunks_of_question(rows: DataFrame, chunk: int) -> DataFrame:
-    """Number the chunks of questions with more than ``chunk`` rows; a user stays in one."""
-    long = rows.groupBy("question_id").agg(F.count("*").alias("_n"))
-    long = long.where(F.col("_n") > chunk)
-    sized = spread_lookup(rows, long, "question_id", F.col("user_id"), "left")
-    chunks = F.coalesce(F.ceil(F.col("_n") / F.lit(chunk)), F.lit(1)).cast("int")
-    return sized.withColumn("chunks", chunks).withColumn(
-        "chunk", F.pmod(F.xxhash64("user_id"), F.col("chunks")).cast("int")
+    """Number the chunks of a question's users, in order of user id; add how many there are."""
+    placed = with_positions(rows.select("question_id", "user_id"), "question_id", [F.col("user_id")])
+    chunks = placed.groupBy("question_id").agg(
+        (F.floor(F.max("position") / chunk) + 1).cast("int").alias("chunks")
+    )
+    return placed.join(chunks, "question_id").select(
+        "question_id",
+        "user_id",
+        "chunks",
+        F.floor(F.col("position") / chunk).cast("int").alias("chunk"),
     )
 
 
@@ -121,13 +130,14 @@ def _weight_map(kept: Column | None = None) -> Column:
 
 
 def question_weight_maps(weights: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """The same as a map ``user -> weight`` per question.
+    """The same as maps ``user -> weight`` per question.
 
-    Questions with more than ``chunk`` users get several maps with disjoint
-    users, numbered by ``chunk`` out of ``chunks``.
+    A map holds ``chunk`` users at most, in order of their ids; a question's
+    maps are numbered by ``chunk`` out of ``chunks``.
     """
+    numbered = _chunks_of_question(weights, chunk)
     return (
-        _chunks_of_question(weights, chunk)
+        weights.join(numbered, ["question_id", "user_id"])
         .groupBy("question_id", "chunks", "chunk")
         .agg(_weight_map().alias("users"))
     )
@@ -150,8 +160,10 @@ def merged_question_weight_maps(
     roles = asked.withColumn("asked", F.lit(True)).unionByName(
         answered.withColumn("asked", F.lit(False))
     )
+    numbered = _chunks_of_question(roles.select("question_id", "user_id").distinct(), chunk)
     return (
-        _chunks_of_question(roles.drop("posts"), chunk)
+        roles.drop("posts")
+        .join(numbered, ["question_id", "user_id"])
         .groupBy("question_id", "chunk")
         .agg(
             _weight_map(F.col("asked")).alias("askers"),
@@ -280,7 +292,9 @@ def circles(weights: DataFrame, requests: DataFrame, block: int = BLOCK) -> Data
     """
     asked = weights.join(requests.select("user_id").distinct(), "user_id", "left_semi")
     mine = asked.select("question_id", "user_id", F.col("weight").alias("own"))
-    others = weights.select("question_id", F.col("user_id").alias("neighbor_id"), "weight")
+    others = weights.join(mine.select("question_id").distinct(), "question_id", "left_semi").select(
+        "question_id", F.col("user_id").alias("neighbor_id"), "weight"
+    )
     met = blocked_join(mine, others, "question_id", "user_id", "neighbor_id", block)
     return (
         met.where(F.col("user_id") != F.col("neighbor_id"))

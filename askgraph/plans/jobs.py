@@ -58,7 +58,7 @@ def run_analysis(
         write_table(network.user_links(weights, largest=largest), results, "links")
         links = read_table(spark, results, "links")
         bags = recommend.open_bags(weights, accepted)
-        found = recommend.recommendations(spark, links, bags)
+        found = recommend.recommendations(links, bags)
         write_documents(
             found,
             document_format,

@@ -53,6 +53,7 @@ _VIEWS = {
         from entries e left join accepted a
           on a.question_id = e.question_id and a.accepted_answer_id = e.id
         where e.question_id is not null group by e.question_id, e.user_id""",
+    "requests": "select distinct cast(user_id as varchar) as user_id from events",
     "links": """
         select a.user_id, b.user_id as neighbor_id, cast(sum(a.weight + b.weight) as bigint) as weight
         from weights a join weights b on a.question_id = b.question_id and a.user_id <> b.user_id
@@ -63,12 +64,16 @@ _VIEWS = {
     "listed": """
         select user_id, question_id, neighbor_id, weight
         from links join bags using (neighbor_id)""",
+    "heads": """
+        select neighbor_id, question_id
+        from (select *, row_number() over (partition by neighbor_id order by question_id) as place
+              from bags) b where place <= 5""",
     "top5": """
         select user_id, cast(place as int) as rank, question_id, neighbor_id, weight
         from (select *, row_number() over (partition by user_id
-                     order by weight desc, question_id, neighbor_id) as place from listed) r
+                     order by weight desc, question_id, neighbor_id) as place
+              from links join heads using (neighbor_id)) r
         where place <= 5""",
-    "requests": "select distinct cast(user_id as varchar) as user_id from events",
 }
 
 _ORDER = {name: position for position, name in enumerate(_VIEWS)}
@@ -81,11 +86,15 @@ _NEEDS = {
     "links": ["weights"],
     "bags": ["entries", "accepted"],
     "listed": ["links", "bags"],
-    "top5": ["listed"],
+    "heads": ["bags"],
+    "top5": ["links", "heads"],
 }
 
+_SAMPLE = "cast('0x' || substr(md5(concat('42:', id)), 1, 8) as bigint) < 429496730"
 
-def _sql(query: str, *views: str) -> str:
+
+def _sql(query: str, *views: str, **changed: str) -> str:
+    """The query after the views it needs; ``changed`` views replace those of their name."""
     needed: set[str] = set()
     pending = list(views)
     while pending:
@@ -95,7 +104,8 @@ def _sql(query: str, *views: str) -> str:
             pending.extend(_NEEDS.get(name, []))
     if not needed:
         return query
-    parts = [f"{n} as materialized ({_VIEWS[n]})" for n in sorted(needed, key=_ORDER.get)]
+    views_now = _VIEWS | changed
+    parts = [f"{n} as materialized ({views_now[n]})" for n in sorted(needed, key=_ORDER.get)]
     return "with " + ",\n".join(parts) + "\n" + query
 
 
@@ -128,21 +138,28 @@ _CHECKSUM = """cast(sum(cast('0x' || substr(md5(concat_ws('|', question_id, neig
                    as bigint)) as bigint)"""
 
 _DOCUMENTS = """
-    select d.user_id as _id, cast(coalesce(page, 0) as int) as page, cast(coalesce(n, 0) as int) as n,
+    select concat(d.user_id, '/', cast(coalesce(page, 0) as int)) as _id, d.user_id,
+           cast(coalesce(page, 0) as int) as page, cast(coalesce(n, 0) as int) as n,
            coalesce(digest, md5('')) as digest
     from (select distinct user_id from links) d
     left join (select user_id, page, count(*) as n,
                       md5(string_agg(concat_ws(':', question_id, neighbor_id, weight), ','
                           order by weight desc, question_id, neighbor_id)) as digest
                from (select *, (row_number() over (partition by user_id
-                            order by weight desc, question_id, neighbor_id) - 1) // 100000 as page
+                            order by weight desc, question_id, neighbor_id) - 1) // 1000 as page
                      from listed) p
                group by user_id, page) g on g.user_id = d.user_id"""
 
 _MAPS = """
-    select question_id, 0 as chunk, cast(count(*) as int) as n,
+    select question_id, cast(chunk as int) as chunk, cast(count(*) as int) as n,
            string_agg(concat_ws(':', user_id, weight), ',' order by user_id) as users
-    from weights group by question_id"""
+    from (select *, (row_number() over (partition by question_id order by user_id) - 1) // 3 as chunk
+          from weights) w group by question_id, chunk"""
+
+_RANKED = """
+    select user_id, row_number() over (partition by user_id
+                order by weight desc, question_id, neighbor_id) - 1 as position,
+           question_id, neighbor_id, weight from listed"""
 
 _CLEAN_POSTS = """
     select id, postTypeId, title, body, postDate,
@@ -155,6 +172,15 @@ _CLEAN_POSTS = """
     from posts"""
 _CLEAN_POSTS = f"select * from ({_CLEAN_POSTS}) c where ownerUserId is not null"
 
+_PARTICIPATION = """select cast(count(*) as bigint) as users,
+                  cast(coalesce(sum(case when answers > 5 then 1 else 0 end), 0) as bigint)
+                      as active_users,
+                  avg(case when answers > 5 then 1 else 0 end) as share
+           from users left join (select ownerUserId, count(*) as answers from posts
+                                 where postTypeId = 2 group by ownerUserId) a on ownerUserId = id"""
+
+_SAMPLED_ENTRIES = f"{_VIEWS['entries']} where {_SAMPLE}"
+
 _LINKS = "select user_id, neighbor_id, weight from links"
 
 ORACLES: dict[str, str] = {
@@ -163,9 +189,13 @@ ORACLES: dict[str, str] = {
         "select user_id, question_id from entries where question_id is not null", "entries"
     ),
     "user_question_bags": _sql(
-        """select user_id, 0 as chunk, cast(count(question_id) as int) as n,
-                  string_agg(question_id, ',' order by question_id) as questions
-           from entries group by user_id""",
+        """select user_id, cast(chunk as int) as chunk, cast(count(question_id) as int) as n,
+                  coalesce(string_agg(question_id, ',' order by question_id), '') as questions
+           from (select *, case when question_id is null then 0 else
+                        (row_number() over (partition by user_id order by question_id nulls last, id) - 1)
+                        // 20 end as chunk
+                 from entries) e
+           group by user_id, chunk""",
         "entries",
     ),
     "question_user_weights": _sql("select question_id, user_id, weight from weights", "weights"),
@@ -187,7 +217,11 @@ ORACLES: dict[str, str] = {
     "feed_top5": _sql("select * from top5", "top5"),
     "feed": _sql(_FEED, "top5", "users"),
     "feed_requested": _sql(
-        f"{_FEED} where t.user_id in (select user_id from requests)", "top5", "users", "requests"
+        _FEED,
+        "requests",
+        "top5",
+        "users",
+        links=f"{_VIEWS['links'].replace('group by', 'where a.user_id in (select user_id from requests) group by')}",
     ),
     "feed_json": _sql(_FEED_JSON, "top5", "users"),
     "ingest_users": _sql("select * from users", "users"),
@@ -207,18 +241,19 @@ ORACLES: dict[str, str] = {
         "questions",
     ),
     "sample_posts": _sql(
-        """select id from posts
-           where cast('0x' || substr(md5(concat('42:', id)), 1, 8) as bigint) % 1000 < 100""",
+        f"select id from posts where {_SAMPLE}",
         "posts",
     ),
-    "answer_participation": _sql(
-        """select cast(count(*) as bigint) as users,
-                  cast(coalesce(sum(case when answers > 5 then 1 else 0 end), 0) as bigint)
-                      as active_users,
-                  avg(case when answers > 5 then 1 else 0 end) as share
-           from users left join (select ownerUserId, count(*) as answers from posts
-                                 where postTypeId = 2 group by ownerUserId) a on ownerUserId = id""",
+    "answer_participation": _sql(_PARTICIPATION, "users", "posts"),
+    "answer_participation_sampled": _sql(
+        _PARTICIPATION.replace("from posts", f"from (select * from posts where {_SAMPLE}) s"),
         "users",
         "posts",
     ),
+    "feed_from_documents": _sql("select * from top5", "top5"),
+    "feed_top5_crowds": _sql("select * from top5", "top5"),
+    "feed_top5_sampled": _sql("select * from top5", "top5", entries=_SAMPLED_ENTRIES),
+    "candidates_sampled": _sql("select * from listed", "listed", entries=_SAMPLED_ENTRIES),
+    "ranked_sampled": _sql(_RANKED, "listed", entries=_SAMPLED_ENTRIES),
+    "ingest_posts_mapped": _sql(_CLEAN_POSTS, "posts"),
 }

@@ -14,22 +14,35 @@ from pyspark.sql import functions as F
 
 from askgraph.operators import feed as feeds
 from askgraph.operators import ingest, network, recommend, reports
-from askgraph.operators.blocks import BLOCK
 from askgraph.session import new_path, staged
 from askgraph.sources import corpus
 from askgraph.sources.tables import read_table, write_documents, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Small enough that lists of the test tables cross them; the SQL computes the same.
+BAG_CHUNK, MAP_CHUNK, DOCUMENT_PAGE = 20, 3, 1000
+FRACTION = 0.1
+# Users of a question that count as a crowd in the query that goes class by class.
+SMALL_CROWD = 8
+
 
 def _posts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     posts = corpus.posts(spark, folder)
     return posts, network.accepted_answers(posts)
 
 
-def _weights(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Weights and closed questions, staged because all later steps start from them."""
+def _weights(
+    spark: SparkSession, folder: str, fraction: float = 1.0
+) -> tuple[DataFrame, DataFrame]:
+    """Weights and closed questions, staged because all later steps start from them.
+
+    Below a ``fraction`` of 1 the weights come from a sample of the posts, the
+    closed questions from all of them.
+    """
     posts, accepted = _posts(spark, folder)
+    if fraction < 1.0:
+        posts = reports.sample_by_id(posts, fraction)
     accepted = staged(spark, accepted, "accepted")
     return staged(spark, network.participation(posts, accepted), "weights"), accepted
 
@@ -47,7 +60,7 @@ def interactions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_question_bags(spark: SparkSession, folder: str) -> DataFrame:
-    return network.user_question_bags(corpus.posts(spark, folder)).select(
+    return network.user_question_bags(corpus.posts(spark, folder), BAG_CHUNK).select(
         "user_id",
         "chunk",
         F.size("questions").alias("n"),
@@ -70,11 +83,13 @@ def _maps_as_text(maps: DataFrame) -> DataFrame:
 
 def question_weight_maps(spark: SparkSession, folder: str) -> DataFrame:
     weights = network.question_user_weights(*_posts(spark, folder))
-    return _maps_as_text(network.question_weight_maps(weights))
+    return _maps_as_text(network.question_weight_maps(weights, MAP_CHUNK))
 
 
 def merged_question_weight_maps(spark: SparkSession, folder: str) -> DataFrame:
-    return _maps_as_text(network.merged_question_weight_maps(*_posts(spark, folder)))
+    return _maps_as_text(
+        network.merged_question_weight_maps(*_posts(spark, folder), chunk=MAP_CHUNK)
+    )
 
 
 def user_links(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,7 +98,7 @@ def user_links(spark: SparkSession, folder: str) -> DataFrame:
 
 def user_links_from_maps(spark: SparkSession, folder: str) -> DataFrame:
     weights = network.question_user_weights(*_posts(spark, folder))
-    return network.user_links_from_maps(network.question_weight_maps(weights, chunk=BLOCK))
+    return network.user_links_from_maps(network.question_weight_maps(weights, MAP_CHUNK))
 
 
 def circle_networks(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,9 +111,16 @@ def _number(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
+def _candidates(spark: SparkSession, folder: str, fraction: float = 1.0) -> DataFrame:
+    """Candidates from written links and bags, which are counted and joined."""
+    weights, accepted = _weights(spark, folder, fraction)
+    links = staged(spark, _links(weights), "links")
+    bags = staged(spark, recommend.open_bags(weights, accepted), "bags")
+    return recommend.candidates(links, bags)
+
+
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
-    weights, accepted = _weights(spark, folder)
-    rows = recommend.candidates(_links(weights), recommend.open_bags(weights, accepted))
+    rows = _candidates(spark, folder)
     row = F.concat_ws("|", "question_id", "neighbor_id", F.col("weight").cast("string"))
     return rows.groupBy("user_id").agg(
         F.count("*").alias("n"),
@@ -110,7 +132,8 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
     weights, accepted = _weights(spark, folder)
     links = staged(spark, _links(weights), "links")
-    return recommend.recommendations(spark, links, recommend.open_bags(weights, accepted))
+    bags = staged(spark, recommend.open_bags(weights, accepted), "bags")
+    return recommend.recommendations(links, bags, DOCUMENT_PAGE)
 
 
 def _document_digest(documents: DataFrame) -> DataFrame:
@@ -120,6 +143,7 @@ def _document_digest(documents: DataFrame) -> DataFrame:
 
     return documents.select(
         "_id",
+        "user_id",
         "page",
         F.size("posts").alias("n"),
         F.md5(F.array_join(F.transform("posts", text), ",")).alias("digest"),
@@ -130,12 +154,53 @@ def recommendations(spark: SparkSession, folder: str) -> DataFrame:
     return _document_digest(_documents(spark, folder))
 
 
-def stored_recommendations(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents saved as compressed JSON and read back."""
+def _stored_documents(spark: SparkSession, folder: str) -> DataFrame:
     documents = _documents(spark, folder)
     path = new_path(spark, "documents")
     write_documents(documents, "json", path=path, compression="gzip")
-    return _document_digest(spark.read.schema(documents.schema).json(path))
+    return spark.read.schema(documents.schema).json(path)
+
+
+def stored_recommendations(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents saved as compressed JSON and read back."""
+    return _document_digest(_stored_documents(spark, folder))
+
+
+def feed_from_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The first five entries of everybody's stored documents."""
+    return feeds.top_of_documents(_stored_documents(spark, folder))
+
+
+def candidates_sampled(spark: SparkSession, folder: str) -> DataFrame:
+    """The candidates of the sampled analysis, row by row."""
+    return _candidates(spark, folder, FRACTION)
+
+
+def ranked_sampled(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with their places in the lists."""
+    return recommend.ranked_candidates(_candidates(spark, folder, FRACTION))
+
+
+def feed_top5_sampled(spark: SparkSession, folder: str) -> DataFrame:
+    weights, accepted = _weights(spark, folder, FRACTION)
+    return recommend.top_candidates(weights, accepted)
+
+
+def feed_top5_crowds(spark: SparkSession, folder: str) -> DataFrame:
+    """Everybody's best five, with questions of a few users treated as crowded."""
+    weights, accepted = _weights(spark, folder)
+    return recommend.top_candidates(weights, accepted, crowd=SMALL_CROWD)
+
+
+def answer_participation_sampled(spark: SparkSession, folder: str) -> DataFrame:
+    posts = reports.sample_by_id(corpus.posts(spark, folder), FRACTION)
+    return reports.answer_participation(corpus.users(spark, folder), posts)
+
+
+def ingest_posts_mapped(spark: SparkSession, folder: str) -> DataFrame:
+    """Posts from a dump that spells its field names another way."""
+    dumps = (corpus.json_dump(spark, folder, f"posts_{kind}", mapped=True) for kind in ("questions", "answers"))
+    return _tags_as_text(ingest.clean_posts(*dumps))
 
 
 def _top(spark: SparkSession, folder: str, requests: DataFrame | None = None) -> DataFrame:
@@ -244,5 +309,12 @@ QUERIES: dict[str, Query] = {
         peek_questions,
         sample_posts,
         answer_participation,
+        feed_from_documents,
+        candidates_sampled,
+        ranked_sampled,
+        feed_top5_sampled,
+        feed_top5_crowds,
+        answer_participation_sampled,
+        ingest_posts_mapped,
     )
 }

@@ -54,7 +54,7 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         app = context.applicationId
         if app not in _local_folders:
-            if not context.master.startswith("local"):
+            if not (context.master == "local" or context.master.startswith("local[")):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             _local_folders[app] = tempfile.TemporaryDirectory(prefix="askgraph-")
         folder = _local_folders[app].name

@@ -6,6 +6,7 @@ brands for tags and events for comments.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -162,18 +163,33 @@ def raw_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return _all_text({"users": users, "tags": tags, "comments": comments}[name](spark, folder))
 
 
-_dumped: set[str] = set()
+#: What a dump in the other spelling calls the fields of questions and answers.
+MAPPED = {
+    "postTypeId": "post_type_id",
+    "postDate": "creation_date",
+    "ownerUserId": "owner_user_id",
+    "acceptedAnswerId": "accepted_answer_id",
+    "parentId": "parent_id",
+    "favoriteCount": "favorite_count",
+    "viewCount": "view_count",
+}
 
 
-def json_dump(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def json_dump(spark: SparkSession, folder: str, name: str, mapped: bool = False) -> DataFrame:
     """The raw table written as a JSON dump in the shared folder and read back.
 
-    Written once per application: later calls read the same dump.
+    Written once per application and source: later calls read the same dump, as
+    long as it is there. ``mapped`` dumps spell the names of fields in MAPPED
+    the other way, and are read with that mapping.
     """
-    source = folder.rstrip("/").replace(":", "").replace("/", "_")
+    source = folder.rstrip("/").replace(":", "").replace("/", "_") + "-mapped" * mapped
     base = f"{shared_folder(spark)}/dump-{spark.sparkContext.applicationId}-{source}"
-    path = f"{base}/{name}.json"
-    if path not in _dumped:
-        raw_table(spark, folder, name).write.mode("overwrite").json(path)
-        _dumped.add(path)
-    return read_raw(spark, base, name)
+    raw = raw_table(spark, folder, name)
+    fields = {k: v for k, v in MAPPED.items() if mapped and k in raw.columns}
+    try:
+        return read_raw(spark, base, name, fields)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    raw.withColumnsRenamed(fields).write.json(f"{base}/{name}.json")
+    return read_raw(spark, base, name, fields)

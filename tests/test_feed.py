@@ -1,6 +1,8 @@
+import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from askgraph import schemas
 from askgraph.operators import feed as feeds
@@ -75,3 +77,20 @@ def test_samples_and_peek(spark):
     assert reports.sample_by_id(ids, 1.0).count() == 4000
     assert [r[0] for r in reports.peek(ids, "id", n=3).collect()] == ["0", "1", "10"]
     assert reports.peek(ids).count() == 20
+
+
+@pytest.mark.parametrize("fraction", [0.0004, 0.0015, 0.9996])
+def test_fine_fractions_are_kept_exactly(spark, fraction):
+    ids = spark.range(100_000).select(F.col("id").cast("string"))
+
+    def number(i):
+        return int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:8], 16)
+
+    expected = sum(number(i) < round(fraction * 2**32) for i in range(100_000))
+    assert 0 < expected < 100_000
+    assert reports.sample_by_id(ids, fraction).count() == expected
+
+
+def test_fractions_beyond_the_range_are_refused(spark):
+    with pytest.raises(ValueError):
+        reports.sample_by_id(spark.range(3).select(F.col("id").cast("string")), 1.5)

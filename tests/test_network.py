@@ -62,10 +62,12 @@ def test_bag_of_other_post_types_is_empty_and_null_parents_are_dropped(make_post
 
 
 def test_long_bags_come_in_chunks(make_posts):
-    posts = [(f"a{i}", 2, "A", "q", None) for i in range(50)] + [("b", 2, "B", "q", None)]
-    rows = network.user_question_bags(make_posts(posts), chunk=10).collect()
-    sizes = [len(r["questions"]) for r in rows if r["user_id"] == "A"]
-    assert sum(sizes) == 50 and len(sizes) > 1 and max(sizes) < 50
+    posts = [(f"a{i}", 2, "A", f"q{i * 7 % 30:02}", None) for i in range(50)]
+    posts.append(("b", 2, "B", "q", None))
+    rows = network.user_question_bags(make_posts(posts), chunk=9).collect()
+    mine = sorted((r["chunk"], r["questions"]) for r in rows if r["user_id"] == "A")
+    assert [len(q) for _, q in mine] == [9, 9, 9, 9, 9, 5]
+    assert sum((q for _, q in mine), []) == sorted(p[3] for p in posts[:50])
     assert [r["chunk"] for r in rows if r["user_id"] == "B"] == [0]
 
 

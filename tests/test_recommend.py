@@ -24,8 +24,8 @@ def prepare(df):
 
 def documents(df):
     result = {}
-    for row in sorted(df.collect(), key=lambda r: (r["_id"], r["page"])):
-        result.setdefault(row["_id"], []).extend(map(tuple, row["posts"]))
+    for row in sorted(df.collect(), key=lambda r: (r["user_id"], r["page"])):
+        result.setdefault(row["user_id"], []).extend(map(tuple, row["posts"]))
     return result
 
 
@@ -44,7 +44,7 @@ def first(lists, k):
 
 def test_worked_case(spark, case):
     weights, accepted, links, bags = prepare(case)
-    assert documents(recommend.recommendations(spark, links, bags)) == LISTS
+    assert documents(recommend.recommendations(links, bags)) == LISTS
     flat = sorted(map(tuple, recommend.candidates(links, bags).collect()))
     assert flat == sorted((u, *e) for u, found in LISTS.items() for e in found)
     assert tops(recommend.top_candidates(weights, accepted)) == first(LISTS, 5)
@@ -55,7 +55,7 @@ def test_closed_only_users_keep_an_empty_list(spark, make_posts):
         [("q1", 1, "A", None, "a1"), ("a1", 2, "B", "q1", None), ("a2", 2, "C", "q1", None)]
     )
     weights, accepted, links, bags = prepare(df)
-    assert documents(recommend.recommendations(spark, links, bags)) == {"A": [], "B": [], "C": []}
+    assert documents(recommend.recommendations(links, bags)) == {"A": [], "B": [], "C": []}
     assert recommend.top_candidates(weights, accepted).count() == 0
 
 
@@ -73,10 +73,16 @@ def test_own_questions_can_be_left_out(case):
 def test_documents_of_any_length(spark, make_posts, page):
     posts = crowd(size=25)
     _, _, links, bags = prepare(make_posts(posts))
-    found = recommend.recommendations(spark, links, bags, page=page, block=5)
+    found = recommend.recommendations(links, bags, page=page, block=5)
     rows = found.collect()
     assert max(len(r["posts"]) for r in rows) <= page
+    keyed = {r["_id"]: r for r in rows}  # as a store keyed on _id would hold them
+    assert len(keyed) == len(rows)
+    by_page = sorted(keyed.values(), key=lambda r: (r["user_id"], r["page"]))
     expected = brute.lists(posts)
+    for user, entries in expected.items():
+        mine = [tuple(p) for r in by_page if r["user_id"] == user for p in r["posts"]]
+        assert mine == entries
     assert documents(found) == expected
     assert len(rows) == sum(max(1, -(-len(e) // page)) for e in expected.values())
 
@@ -136,7 +142,7 @@ def test_requests_restrict_the_output(spark, make_posts):
 
 def test_top_of_documents_equals_top(spark, make_posts):
     weights, accepted, links, bags = prepare(make_posts(busy(11)))
-    stored = recommend.recommendations(spark, links, bags, page=40)
+    stored = recommend.recommendations(links, bags, page=40)
     assert tops(feeds.top_of_documents(stored, 5)) == tops(
         recommend.top_candidates(weights, accepted)
     )

@@ -94,7 +94,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     jobs.run_analysis(spark, clean, results)
 
     stored = spark.read.json(f"{results}/recommendations").collect()
-    lists = {r["_id"]: [(p["question_id"], p["neighbor_id"], p["weight"]) for p in r["posts"]] for r in stored}
+    lists = {r["user_id"]: [(p["question_id"], p["neighbor_id"], p["weight"]) for p in r["posts"]] for r in stored}
     assert lists == {"A": [("q2", "B", 13)], "B": [("q2", "A", 13)], "C": [("q2", "A", 6), ("q2", "B", 5)]}
     texts = {r["user_id"]: json.loads(r["feed"]) for r in tables.read_table(spark, results, "feeds").collect()}
     assert texts["C"]["1"]["connection"] == "B" and texts["C"]["user"]["name"] == "C"
