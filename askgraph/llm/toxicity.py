@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -475,15 +476,15 @@ def score_toxicity(
     """
     schema = docs.select("*", F.lit(0.0).alias("_score")).schema
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch[text_col]]
-            if isinstance(model, float):
-                yield batch.assign(_score=model)
-            else:
-                yield batch.assign(_score=model.probabilities(texts))
+            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
+            scores = [model] * len(texts) if isinstance(model, float) else model.probabilities(texts)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "_score"]
+            )
 
-    return docs.mapInPandas(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def toxicity(
