@@ -6,12 +6,13 @@ import os
 import shutil
 import tempfile
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from askgraph.session import new_path, shared_folder, staged
 
-__all__ = ["WORD", "new_path", "row_key", "shared_folder", "ship", "staged", "table", "word_count"]
+__all__ = ["WORD", "new_path", "row_key", "shared_folder", "ship", "staged", "table", "whole_ids", "word_count"]
 
 #: A word: a longest run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,6 +49,11 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def whole_ids(ids: pd.Series) -> pd.Series:
+    """Ids that came to Python as text: as numbers, they would lose bits beside a null."""
+    return pd.Series([None if pd.isna(i) else int(i) for i in ids], ids.index, "Int64")
+
+
 def row_key(*columns: str) -> list[Column]:
     """Two 64-bit hashes that stand for a row: equal rows share them, nulls included."""
     return [

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from askgraph.llm.common import staged
+from askgraph.llm.common import staged, whole_ids
 from askgraph.llm.tokens import default_path, tokenizer
 
 CAPACITY = 4096
@@ -51,7 +51,7 @@ def _encoder(path: str, capacity: int, end_id: int, with_ids: bool, width: int)
                     rows.append((*row, part.astype(f"<u{width}").tobytes()) if with_ids else row)
             columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
             out = pd.DataFrame(rows, columns=columns + ["ids"] * with_ids)
-            out["doc_id"] = out["doc_id"].astype("Int64")
+            out["doc_id"] = whole_ids(out["doc_id"])
             yield out
 
     return encode
@@ -76,7 +76,7 @@ def pieces(
     """
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
+        F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text")
     ).mapInPandas(
         _encoder(path or default_path(), capacity, end_id, with_ids, width),
         schema + (", ids binary" if with_ids else ""),
@@ -179,7 +179,7 @@ def _placer(runs: list[Run]) -> Callable:
                 sequence[rows] = sequences[run] + rank - ranks[run]
                 offset[rows] = offsets[run]
             out["sequence_id"], out["offset"] = sequence, offset
-            out["doc_id"] = out["doc_id"].astype("Int64")
+            out["doc_id"] = whole_ids(out["doc_id"])
             yield out.drop(columns="rank")
 
     return place
@@ -236,6 +236,7 @@ def pack_best_fit(
     order = ["doc_id", "piece", "start", "ids_crc32"]
     ranked = with_rank(cut, sum(counts.values()), order)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return ranked.select(*cut.columns, "rank").mapInPandas(
+    ids = F.col("doc_id").cast("string").alias("doc_id")
+    return ranked.select(ids, *cut.columns[1:], "rank").mapInPandas(
         _placer(runs), schema + ", sequence_id long, offset long"
     )

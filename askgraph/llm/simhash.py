@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from askgraph.llm.common import staged
+from askgraph.llm.common import staged, whole_ids
 from askgraph.llm.components import components, flat, link
 
 SEED = 42
@@ -69,10 +69,10 @@ def fingerprints(
         for batch in batches:
             values = [fingerprint(text, shingle, seed) for text in batch["text"]]
             prints = np.array(values, "u8").view("i8")
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "print": prints})
+            yield pd.DataFrame({"doc_id": whole_ids(batch["doc_id"]), "print": prints})
 
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")
+        F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(text_col).alias("text")
     ).mapInPandas(run, "doc_id long, print long")
 
 
