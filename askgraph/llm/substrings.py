@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pickle
 import zlib
 from collections.abc import Iterator
 
@@ -162,20 +163,30 @@ def shard_indexer(window: int, gram: int):
     return run
 
 
+def parcel(rows: pd.DataFrame) -> pd.DataFrame:
+    """The open runs of a shard, once for each other shard they go to, as one value each."""
+    to: dict[int, list[tuple]] = {}
+    columns = ["_k1", "_k2", "start", "data", "targets"]
+    for *run, targets in rows[columns].itertuples(index=False, name=None):
+        for target in targets:
+            to.setdefault(int(target), []).append(tuple(run))
+    out = [(target, pickle.dumps(runs)) for target, runs in to.items()]
+    return pd.DataFrame(out, columns=["target", "runs"])
+
+
 def shard_streamer(window: int):
     """Stream runs of open windows through the index of another shard."""
 
-    def run(index_rows: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(index_rows: pd.DataFrame, parcels: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(index_rows) and len(rows):
+        if len(index_rows) and len(parcels):
             index = FMIndex.load(index_rows["data"].iloc[0])
             known = index.vocabulary
-            segments = [[known.get(w, -1) for w in line.split()] for line in rows["data"]]
-            hits = _search(index, segments, window, 1)
-            for (k1, k2, start), hit in zip(
-                rows[["_k1", "_k2", "start"]].itertuples(index=False), hits, strict=True
-            ):
-                out += [(k1, k2, start + a, start + b + window - 1) for a, b in runs_of(hit)]
+            for runs in map(pickle.loads, parcels["runs"]):
+                segments = [[known.get(w, -1) for w in run[3].split()] for run in runs]
+                hits = _search(index, segments, window, 1)
+                for (k1, k2, start, _), hit in zip(runs, hits, strict=True):
+                    out += [(k1, k2, start + a, start + b + window - 1) for a, b in runs_of(hit)]
         return pd.DataFrame(out, columns=["_k1", "_k2", "start", "stop"])
 
     return run
@@ -265,22 +276,32 @@ def repeated_spans(
         segments.groupBy("shard").applyInPandas(shard_indexer(window, gram), _FOUND),
         "indexes",
     )
-    homes = placed.select(F.explode("repeated").alias("anchor"), "shard").distinct()
-    open_ = found.where("kind = 'open'")
+    # a row per anchor with the shards that hold it, so that the join keeps a row per open anchor
+    homes = (
+        placed.select(F.explode("repeated").alias("_anchor"), "shard")
+        .groupBy("_anchor")
+        .agg(F.collect_set("shard").alias("homes"))
+    )
+    open_ = found.where("kind = 'open'").select("_k1", "_k2", "start", "shard", "data", "anchors")
+    elsewhere = F.filter("homes", lambda home: home != F.col("shard"))
     targets = (
-        open_.select("_k1", "_k2", "start", "shard", F.explode("anchors").alias("_anchor"))
-        .join(
-            homes.select("anchor", F.col("shard").alias("target")),
-            (F.col("_anchor") == F.col("anchor")) & (F.col("shard") != F.col("target")),
-        )
-        .select("_k1", "_k2", "start", "target")
-        .distinct()
+        open_.select("_k1", "_k2", "start", "shard", F.explode("anchors").alias("anchor"))
+        .join(homes, F.col("anchor") == F.col("_anchor"))
+        .select("_k1", "_k2", "start", elsewhere.alias("targets"))
+        .groupBy("_k1", "_k2", "start")
+        .agg(F.array_distinct(F.flatten(F.collect_list("targets"))).alias("targets"))
+        .where(F.size("targets") > 0)
+    )
+    parcels = (
+        open_.drop("anchors")
+        .join(targets, ["_k1", "_k2", "start"])
+        .groupBy("shard")
+        .applyInPandas(parcel, "target int, runs binary")
     )
-    runs = targets.join(open_.select("_k1", "_k2", "start", "data"), ["_k1", "_k2", "start"])
     indexes = found.where("kind = 'index'").select(F.col("shard").alias("target"), "data")
     foreign = (
         indexes.groupBy("target")
-        .cogroup(runs.groupBy("target"))
+        .cogroup(parcels.groupBy("target"))
         .applyInPandas(shard_streamer(window), "_k1 long, _k2 long, start long, stop long")
     )
     hits = found.where("kind = 'hit'").select("_k1", "_k2", "start", "stop").unionByName(foreign)
