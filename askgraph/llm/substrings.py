@@ -182,11 +182,12 @@ def shard_streamer(window: int):
         if len(index_rows) and len(parcels):
             index = FMIndex.load(index_rows["data"].iloc[0])
             known = index.vocabulary
-            for runs in map(pickle.loads, parcels["runs"]):
-                segments = [[known.get(w, -1) for w in run[3].split()] for run in runs]
-                hits = _search(index, segments, window, 1)
-                for (k1, k2, start, _), hit in zip(runs, hits, strict=True):
-                    out += [(k1, k2, start + a, start + b + window - 1) for a, b in runs_of(hit)]
+            # one search for all of them: it advances many windows at a time
+            runs = [run for data in parcels["runs"] for run in pickle.loads(data)]
+            segments = [[known.get(w, -1) for w in run[3].split()] for run in runs]
+            hits = _search(index, segments, window, 1)
+            for (k1, k2, start, _), hit in zip(runs, hits, strict=True):
+                out += [(k1, k2, start + a, start + b + window - 1) for a, b in runs_of(hit)]
         return pd.DataFrame(out, columns=["_k1", "_k2", "start", "stop"])
 
     return run
