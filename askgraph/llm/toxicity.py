@@ -6,12 +6,14 @@ of a window run through a second such layer, whose pooled state gives the
 window's score. Windows overlap by half, and all of a text's windows are scored.
 The highest window scores of a text and their number make its probability.
 
-The network is trained in numpy on a bounded sample of labelled documents; half
-of that sample sets the weights, the other half the final probability.
+The network is trained in numpy on all windows of a bounded sample of labelled
+documents; three quarters of it set the weights, the held-back quarter the final
+probability and the end of the training.
 """
 
 from __future__ import annotations
 
+import logging
 import pickle
 import re
 from collections.abc import Iterator
@@ -22,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 WINDOW = 32
 STRIDE = 16
 LETTERS = 20
@@ -32,9 +36,9 @@ VOCABULARY, WORD_DOCS = 20_000, 3
 THRESHOLD = 0.7
 #: Words that are scored at a time.
 BATCH_WORDS = 400_000
-#: Updates of the weights, each on 192 windows.
-STEPS = 220
-#: Rate of the optimizer for most of the training.
+#: Epochs at most, epochs without a better held-back loss that end training, weight of toxic windows.
+EPOCHS, PATIENCE, TOXIC_PART = 20, 3, 0.375
+#: Rate of the optimizer, halved by each epoch that brings nothing.
 RATE = 0.03
 _PIECE_CHARS = 1_000_000
 _WORD = re.compile(r"\w+")
@@ -217,10 +221,14 @@ class Network:
         """Scores of all windows of each list of words."""
         known: dict[str, int] = {}
         codes = [
-            np.array([known.setdefault(w, len(known)) for w in words] or [-1], "i8")
-            for words in texts
+            np.array([known.setdefault(w, len(known)) for w in words], "i8") for words in texts
         ]
-        inputs = np.concatenate([self.projected(list(known)), np.zeros((1, 6 * _HIDDEN), "f4")])
+        return self.coded_scores(list(known), codes)
+
+    def coded_scores(self, words: list[str], codes: list[np.ndarray]) -> list[np.ndarray]:
+        """Scores of all windows of each list of codes into the list of words."""
+        codes = [c if len(c) else np.full(1, -1) for c in codes]
+        inputs = np.concatenate([self.projected(words), np.zeros((1, 6 * _HIDDEN), "f4")])
         starts = [window_starts(len(c)) for c in codes]
         at = np.cumsum([0, *(len(c) for c in codes)])[:-1]
         lengths = np.concatenate(
@@ -329,15 +337,56 @@ def _train_step(
     return float(-(weight * (target * np.log(chance + eps) + (1 - target) * np.log(1 - chance + eps))).mean())
 
 
-def _windows(texts: list[list[str]], most: int, rng: np.random.Generator):
-    """Up to ``most`` windows per text: (text, first word)."""
-    out = []
-    for number, words in enumerate(texts):
-        starts = np.unique(window_starts(len(words)))
-        if len(starts) > most:
-            starts = rng.choice(starts, most, replace=False)
-        out += [(number, int(s)) for s in starts if words]
-    return np.array(out, "i8").reshape(-1, 2)
+class Corpus:
+    """Texts as codes of their words: all pieces of each text and all windows of each piece."""
+
+    def __init__(self, texts: list[str | None]):
+        known: dict[str, int] = {}
+        self.codes: list[np.ndarray] = []
+        owners = []
+        for number, text in enumerate(texts):
+            for words in word_pieces(text):
+                coded = (known.setdefault(w, len(known)) for w in words)
+                self.codes.append(np.fromiter(coded, "i4", len(words)))
+                owners.append(number)
+        self.owners, self.words = np.array(owners, "i8"), list(known)
+
+    def pieces(self, chosen: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces of chosen texts."""
+        return np.flatnonzero(chosen[self.owners])
+
+    def windows(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece and first word of every window of pieces, in the order in which they are scored."""
+        starts = [window_starts(len(self.codes[n])) for n in pieces]
+        return np.repeat(pieces, [len(s) for s in starts]), np.concatenate([*starts, np.zeros(0, "i8")])
+
+    def scores(self, net: Network, pieces: np.ndarray) -> np.ndarray:
+        """Scores of all windows of pieces."""
+        if not len(pieces):
+            return np.zeros(0, "f4")
+        return np.concatenate(net.coded_scores(self.words, [self.codes[n] for n in pieces]))
+
+    def summaries(self, net: Network, chosen: np.ndarray) -> np.ndarray:
+        """What the final probability looks at, for each chosen text in order."""
+        pieces = self.pieces(chosen)
+        owner = self.owners[self.windows(pieces)[0]]
+        cuts = np.flatnonzero(np.diff(owner)) + 1
+        return np.array([net.summary(part) for part in np.split(self.scores(net, pieces), cuts)])
+
+
+def held_back(toxic: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A quarter of each class, at least one text where it has two."""
+    back = np.zeros(len(toxic), bool)
+    for value in (0, 1):
+        rows = rng.permutation(np.flatnonzero(toxic == value))
+        back[rows[: max(len(rows) // 4, int(len(rows) > 1))]] = True
+    return back
+
+
+def likely_toxic(owner: np.ndarray, scores: np.ndarray) -> np.ndarray:
+    """Of all windows of toxic texts those that look toxic, and the highest of each text."""
+    best = pd.Series(scores).groupby(owner).transform("max").to_numpy()
+    return (scores >= best) | (scores > 0)
 
 
 def fit_final(features: np.ndarray, target: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -353,57 +402,76 @@ def fit_final(features: np.ndarray, target: np.ndarray, weight: np.ndarray) -> n
 
 
 def train(
-    texts: list[str | None], toxic: np.ndarray, prior: float, seed: int = 7, steps: int = STEPS
+    texts: list[str | None], toxic: np.ndarray, prior: float, seed: int = 7, steps: int | None = None
 ) -> Network:
-    """Train on labelled texts; ``prior`` is the share of toxic ones among all labelled rows."""
+    """Train on labelled texts; ``prior`` is the share of toxic ones among all labelled rows.
+
+    An epoch goes over all windows of the clean texts and, after the first one,
+    over the windows of toxic texts that look toxic, chosen anew from all of
+    them; each toxic text weighs the same. A held-back quarter sets the final
+    probability and ends the training: the weights of its best epoch stay.
+    ``steps`` ends it after so many updates at most.
+    """
     rng = np.random.default_rng(seed)
-    split = [next(word_pieces(text)) for text in texts]
     toxic = np.asarray(toxic, "f4")
-    fitting = rng.random(len(split)) < (0.75 if len(split) > 400 else 1.0)
-    seen: dict[str, int] = {}
-    for words, use in zip(split, fitting, strict=True):
-        if use:
-            for word in set(words):
-                seen[word] = seen.get(word, 0) + 1
-    common = sorted((w for w, n in seen.items() if n >= WORD_DOCS), key=lambda w: (-seen[w], w))
-    net = Network({w: i + 1 for i, w in enumerate(common[:VOCABULARY])}, seed)
+    corpus, back = Corpus(texts), held_back(toxic, rng)
+    checked = back if len(np.unique(toxic[back])) == 2 else np.ones(len(toxic), bool)
+    last: dict[int, int] = {}
+    seen = np.zeros(len(corpus.words), "i8")
+    for n in corpus.pieces(~back):
+        fresh = [c for c in np.unique(corpus.codes[n]).tolist() if last.get(c) != corpus.owners[n]]
+        last.update(dict.fromkeys(fresh, corpus.owners[n]))
+        seen[fresh] += 1
+    common = [(-seen[c], corpus.words[c]) for c in np.flatnonzero(seen >= WORD_DOCS)]
+    net = Network({w: i + 1 for i, (_, w) in enumerate(sorted(common)[:VOCABULARY])}, seed)
     adam = Adam(net.p, RATE)
-    lists = [w if use else [] for w, use in zip(split, fitting, strict=True)]
-    windows = _windows(lists, 12, rng)
-    known: dict[str, int] = {}
-    codes = [np.array([known.setdefault(w, len(known)) for w in words], "i8") for words in lists]
-    vocabulary = list(known)
-    label = toxic[windows[:, 0]]
-
-    def batch(rows: np.ndarray):
-        index, mask = np.zeros((WINDOW, len(rows)), "i8"), np.zeros((WINDOW, len(rows)), bool)
-        for column, (number, start) in enumerate(windows[rows]):
-            part = codes[number][start : start + WINDOW]
-            index[: len(part), column] = part
-            mask[: len(part), column] = True
-        return index, mask
-
-    bad, good = np.flatnonzero(label > 0), np.flatnonzero(label == 0)
-    for step in range(steps):
-        if step == steps // 2:
-            # windows of toxic texts that look clean by now are most likely clean
-            scores = net.window_scores(
-                [split[n][s : s + WINDOW] for n, s in windows[bad].tolist()]
-            )
-            scores = np.array([s[0] for s in scores])
-            best = pd.Series(scores).groupby(windows[bad, 0]).transform("max").to_numpy()
-            keep = (scores >= best) | (scores > 0)
-            bad = bad[keep]
-        adam.rate = RATE if step < steps * 0.7 else RATE / 3
-        rows = np.concatenate([rng.choice(bad, 72), rng.choice(good, 120)])
-        index, mask = batch(rows)
-        _train_step(net, adam, vocabulary, index, mask, label[rows], np.ones(len(rows), "f4"), rng)
-    checked = ~fitting if (~fitting).any() and toxic[~fitting].any() else np.ones(len(split), bool)
-    features = net.summaries([t for t, c in zip(texts, checked, strict=True) if c])
+    flat = np.concatenate([*corpus.codes, np.zeros(WINDOW, "i4")])
+    at = np.cumsum([0, *map(len, corpus.codes)])
+    sizes = np.diff(at)
+    bad_pieces, good_pieces = (corpus.pieces(~back & (toxic == v)) for v in (1, 0))
+    bad, good = corpus.windows(bad_pieces), corpus.windows(good_pieces)
     target = toxic[checked]
     share = max(1e-6, float(target.mean()))
-    weight = np.where(target > 0, prior / share, (1 - prior) / max(1e-6, 1 - share))
-    net.final = fit_final(features, target, weight)
+    odds = np.where(target > 0, prior / share, (1 - prior) / max(1e-6, 1 - share))
+    step = np.arange(WINDOW)[:, None]
+    best, kept, waited, done = np.inf, None, 0, 0
+    limit = np.inf if steps is None else steps
+
+    for epoch in range(EPOCHS):
+        owner = corpus.owners[bad[0]]
+        use = likely_toxic(owner, corpus.scores(net, bad_pieces)) if epoch else np.ones(len(owner), bool)
+        use &= sizes[bad[0]] > 0
+        owner, some = owner[use], sizes[good[0]] > 0
+        piece = np.concatenate([bad[0][use], good[0][some]])
+        first = at[piece] + np.concatenate([bad[1][use], good[1][some]])
+        label = np.repeat([1.0, 0.0], [len(owner), some.sum()]).astype("f4")
+        weight = np.concatenate([1 / np.bincount(owner)[owner], np.ones(some.sum())])
+        for value, part in ((1, TOXIC_PART), (0, 1 - TOXIC_PART)):
+            weight[label == value] *= part * len(label) / max(1e-9, weight[label == value].sum())
+        size = int(np.clip(len(label) / 150, 192, 1024))
+        order = rng.permutation(len(label))
+        for start in range(0, len(order), size):
+            if done >= limit:
+                break
+            rows = order[start : start + size]
+            mask = step < np.minimum(WINDOW, sizes[piece[rows]])
+            index = np.where(mask, flat[np.minimum(first[rows] + step, len(flat) - 1)], 0)
+            _train_step(net, adam, corpus.words, index, mask, label[rows], weight[rows], rng)
+            done += 1
+        features = corpus.summaries(net, checked)
+        final = fit_final(features, target, odds)
+        chance = np.clip(1 / (1 + np.exp(-np.clip(features @ final, -50, 50))), 1e-6, 1 - 1e-6)
+        loss = -float((odds * np.where(target > 0, np.log(chance), np.log(1 - chance))).mean())
+        if loss < best - 1e-4:
+            best, waited, kept = loss, 0, ({k: v.copy() for k, v in net.p.items()}, final)
+        else:
+            waited += 1
+            adam.rate /= 2
+        log.info("epoch %d: %d updates, %d windows, held-back loss %.4f", epoch, done, len(label), loss)
+        if waited == PATIENCE or done >= limit:
+            break
+    if kept:
+        net.p, net.final = kept
     return net
 
 
@@ -420,7 +488,7 @@ def train_on_labels(
     text_col: str = "text",
     label_col: str = "toxic",
     sample: int = SAMPLE,
-    steps: int = STEPS,
+    steps: int | None = None,
 ) -> Network | float:
     """The network from at most ``sample`` documents of each class, or a constant score.
 
@@ -495,7 +563,7 @@ def toxicity(
     label_col: str = "toxic",
     threshold: float = THRESHOLD,
     sample: int = SAMPLE,
-    steps: int = STEPS,
+    steps: int | None = None,
 ) -> DataFrame:
     """doc_id, held_out, score and predicted (1 from ``threshold`` on) per document.
 

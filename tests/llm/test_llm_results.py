@@ -316,3 +316,28 @@ def test_scores_keep_ids_whole(spark):
     data = [(2**62 + 1, "a"), (None, None), (-5, "")]
     scored = toxicity.score_toxicity(spark.createDataFrame(data, "doc_id long, text string").coalesce(1), 0.25)
     assert [tuple(r) for r in scored.collect()] == [(i, t, 0.25) for i, t in data]
+
+
+def words_trained_on(monkeypatch, texts, toxic, steps):
+    """Words in the windows that training goes over; no weight is changed."""
+    used = set()
+
+    def step(net, adam, words, codes, mask, *rest):
+        used.update(words[c] for c in np.unique(codes[mask]))
+
+    monkeypatch.setattr(toxicity, "_train_step", step)
+    toxicity.train(texts, np.array(toxic), 0.5, steps=steps)
+    return used
+
+
+def test_training_goes_over_all_windows_of_all_pieces(monkeypatch):
+    monkeypatch.setattr(toxicity, "_PIECE_CHARS", 4000)
+    long = [" ".join(f"{name}{i}" for i in range(3000)) for name in "abcd"]
+    used = words_trained_on(monkeypatch, long, [0, 0, 1, 1], 100)
+    whole = [name for name in "abcd" if {f"{name}{i}" for i in range(3000)} <= used]
+    assert len(whole) == 2 and len(used) == 6000
+
+
+def test_training_holds_back_a_quarter_of_few_texts(monkeypatch):
+    used = words_trained_on(monkeypatch, [f"only{i}" for i in range(16)], [0] * 8 + [1] * 8, 100)
+    assert [sum(f"only{i}" in used for i in part) for part in (range(8), range(8, 16))] == [6, 6]
