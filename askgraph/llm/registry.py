@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from askgraph.llm import binary, covertree, mixing, packing, pii, secrets_scan, simhash, substrings, top_k, toxicity
+from askgraph.llm import (
+    binary, byte_bpe, covertree, filter_audit, merkle, mixing, packing, pii, secrets_scan, simhash, substrings,
+    top_k, toxicity,
+)
 from askgraph.llm.common import table
 
 
@@ -53,6 +56,18 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest(byte_bpe.encode_texts(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -66,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_toxicity,
         op10_personal_data,
+        op11_merkle_manifest,
+        op12_filter_audit,
+        op13_byte_bpe,
     )
 }
 
@@ -73,4 +91,6 @@ ORACLES: dict[str, str] = {
     "op1_cover_tree": covertree.SQL,
     "op3_substrings": substrings.SQL,
     "op7_exact_top_k": top_k.SQL,
+    "op11_merkle_manifest": merkle.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }
