@@ -27,6 +27,8 @@ from askgraph.llm.common import staged
 
 #: Characters of a chunk, and how many it shares with the next one.
 CHUNK, OVERLAP = 16_384, 256
+#: Chunks whose places may be broadcast, of about 50 bytes each; more are joined by a shuffle.
+BROADCAST_PLACES = 2_000_000
 #: A pre-token that ends so many characters before the end of a chunk is not told by what follows it.
 _GUARD = 4
 _ROWS = 512
@@ -217,6 +219,8 @@ def _stitched(chunks: DataFrame, path: str | None, pattern: str | None) -> DataF
         F.coalesce(F.lag(F.col("_shared") - F.col("_own")).over(order), F.lit(0)).alias("_enter"),
         F.col("_shared").alias("_leave"),
     )
+    if seams.count() <= BROADCAST_PLACES:
+        places = F.broadcast(places)
     return chunks.join(places, ["_row", "_piece"])
 
 
