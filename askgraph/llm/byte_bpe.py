@@ -32,7 +32,7 @@ BROADCAST_PLACES = 2_000_000
 #: A pre-token that ends so many characters before the end of a chunk is not told by what follows it.
 _GUARD = 4
 _ROWS = 512
-_CACHED, _CACHED_CHARS = 400_000, 64
+_CACHED, _CACHED_CHARS = 150_000, 64
 _codecs: dict[tuple[str | None, str | None], Codec] = {}
 
 
@@ -110,16 +110,18 @@ def _id_lists(encoded: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(stops), pa.array(values))
 
 
-def _encoder(path: str | None, pattern: str | None) -> Callable:
+def _encoded(tool: Codec, batch: pa.RecordBatch) -> list[bytes]:
     """Rows with text, enter and leave: the ids of the pre-tokens between the two."""
+    parts = zip(*(batch[c].to_pylist() for c in ("_text", "_enter", "_leave")), strict=True)
+    return [tool.encode(tool.pre_tokens(*part)) for part in parts]
+
 
+def _encoder(path: str | None, pattern: str | None) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path, pattern)
         for batch in _slices(batches):
-            parts = zip(*(batch[c].to_pylist() for c in ("_text", "_enter", "_leave")), strict=True)
-            found = [tool.encode(tool.pre_tokens(*part)) for part in parts]
-            columns = [batch[c] for c in ("_id", "_row", "_piece")]
-            yield pa.RecordBatch.from_arrays([*columns, _id_lists(found)], ["_id", "_row", "_piece", "_ids"])
+            columns = [*(batch[c] for c in ("_id", "_row", "_piece")), _id_lists(_encoded(tool, batch))]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "_row", "_piece", "_ids"])
 
     return encode
 
@@ -224,6 +226,26 @@ def _stitched(chunks: DataFrame, path: str | None, pattern: str | None) -> DataF
     return chunks.join(places, ["_row", "_piece"])
 
 
+def _places(
+    docs: DataFrame, path: str | None, pattern: str | None, id_col: str, text_col: str, chunk: int, overlap: int
+) -> tuple[DataFrame, DataFrame]:
+    """Whole texts of up to ``chunk`` characters, and stitched chunks of the longer ones."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
+    short = rows.where(F.length("_text") <= chunk).select(
+        "_id",
+        F.lit(None).cast("string").alias("_row"),
+        F.lit(0).alias("_piece"),
+        "_text",
+        F.lit(0).alias("_enter"),
+        F.lit(None).cast("int").alias("_leave"),
+    )
+    cut = f"_id {kind}, _row string, _piece int, _text string, _own int, _to_end boolean, _last boolean"
+    long = rows.where(F.length("_text") > chunk).select("*", F.expr("uuid()").alias("_row"))
+    chunks = staged(docs.sparkSession, long.mapInArrow(_cutter(chunk, overlap), cut), "chunks")
+    return short, _stitched(chunks, path, pattern).select(short.columns)
+
+
 def encode_texts(
     docs: DataFrame,
     path: str | None = None,
@@ -233,9 +255,9 @@ def encode_texts(
     chunk: int = CHUNK,
     overlap: int = OVERLAP,
 ) -> DataFrame:
-    """Token ids ``(<id_col>, row, piece, ids, whole)``, in pieces of a text.
+    """Token ids ``(<id_col>, row, piece, ids)``, in pieces of a text.
 
-    Texts of up to ``chunk`` characters come in one piece with ``whole`` true;
+    Texts of up to ``chunk`` characters come in one piece without a ``row``;
     longer ones in pieces that share a ``row`` of their own and are in order by
     ``piece``. The ids of a text's pieces in order are its ids. Ids are the
     ranks of the file at ``path``; each match of ``pattern`` is encoded on its
@@ -248,29 +270,14 @@ def encode_texts(
     are ignored, whatever their names.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
-    encoded = f"_id {kind}, _row string, _piece int, _ids array<int>"
-    encode = _encoder(path, pattern)
-    short = rows.where(F.length("_text") <= chunk).select(
-        "_id",
-        F.lit(None).cast("string").alias("_row"),
-        F.lit(0).alias("_piece"),
-        "_text",
-        F.lit(0).alias("_enter"),
-        F.lit(None).cast("int").alias("_leave"),
-    )
-    cut = (
-        f"_id {kind}, _row string, _piece int, _text string, _own int, _to_end boolean, _last boolean"
-    )
-    long = rows.where(F.length("_text") > chunk).select("*", F.expr("uuid()").alias("_row"))
-    chunks = staged(docs.sparkSession, long.mapInArrow(_cutter(chunk, overlap), cut), "chunks")
     names = [F.col("_id").alias(id_col), *(F.col(f"_{c}").alias(c) for c in ("row", "piece", "ids"))]
-
-    def pieces(places: DataFrame, whole: bool) -> DataFrame:
-        fields = places.select("_id", "_row", "_piece", "_text", "_enter", "_leave")
-        return fields.mapInArrow(encode, encoded).select(*names, F.lit(whole).alias("whole"))
-
-    return pieces(short, True).unionByName(pieces(_stitched(chunks, path, pattern), False))
+    short, long = (
+        places.mapInArrow(
+            _encoder(path, pattern), f"_id {kind}, _row string, _piece int, _ids array<int>"
+        ).select(*names)
+        for places in _places(docs, path, pattern, id_col, text_col, chunk, overlap)
+    )
+    return short.unionByName(long)
 
 
 def decode_ids(
@@ -295,39 +302,51 @@ def decode_ids(
     return pieces.mapInArrow(decode, decoded)
 
 
-def digest(
-    pieces: DataFrame, path: str | None = None, pattern: str | None = None, id_col: str = "doc_id"
+def _sums(tool: Codec, parts: Iterable[np.ndarray]) -> tuple[int, str, str]:
+    n, text, back = 0, hashlib.sha256(), hashlib.sha256()
+    for part in parts:
+        ids = part.tolist()
+        if ids:
+            joined = ",".join(map(tool.decimal.__getitem__, ids))
+            text.update((f",{joined}" if n else joined).encode())
+            back.update(tool.decode(ids))
+            n += len(ids)
+    return n, text.hexdigest(), back.hexdigest()
+
+
+def round_trip(
+    docs: DataFrame,
+    path: str | None = None,
+    pattern: str | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk: int = CHUNK,
+    overlap: int = OVERLAP,
 ) -> DataFrame:
-    """``(<id_col>, n_tokens, ids_sha256, decoded_sha256)`` of each text from its ``encode_texts`` pieces."""
-    kind = pieces.schema[id_col].dataType.simpleString()
-    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256"]
-    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-
-    def sums(tool: Codec, parts: Iterable[np.ndarray]) -> tuple[int, str, str]:
-        n, text, back = 0, hashlib.sha256(), hashlib.sha256()
-        for part in parts:
-            ids = part.tolist()
-            if ids:
-                joined = ",".join(map(tool.decimal.__getitem__, ids))
-                text.update((f",{joined}" if n else joined).encode())
-                back.update(tool.decode(ids))
-                n += len(ids)
-        return n, text.hexdigest(), back.hexdigest()
-
-    def of_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(<id_col>, n_tokens, ids_sha256, decoded_sha256)`` of each text, encoded and decoded again.
+
+    The ids are those of ``encode_texts`` and stay in the task for texts of one
+    chunk; pieces of longer texts are gathered per text.
+    """
+    short, long = _places(docs, path, pattern, id_col, text_col, chunk, overlap)
+    kind = docs.schema[id_col].dataType.simpleString()
+    names = ["_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+    schema = f"_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+    def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = codec(path, pattern)
         for batch in _slices(batches):
-            lists = batch["ids"]
-            values, stops = lists.values.to_numpy(), lists.offsets.to_numpy()
-            found = [sums(tool, [values[a:b]]) for a, b in zip(stops[:-1], stops[1:], strict=True)]
-            columns = [pa.array(list(c), t) for c, t in zip(zip(*found), (pa.int64(), pa.string(), pa.string()))]
-            yield pa.RecordBatch.from_arrays([batch[id_col], *columns], names)
+            found = [_sums(tool, [np.frombuffer(ids, "<i4")]) for ids in _encoded(tool, batch)]
+            columns = [pa.array(list(c)) for c in zip(*found, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["_id"], *columns], names)
 
     def of_pieces(rows):
-        places = np.argsort(rows["piece"].to_numpy(), kind="stable").tolist()
-        found = sums(codec(path, pattern), (rows["ids"][i].values.to_numpy() for i in places))
-        return pa.table([rows[id_col].slice(0, 1), *([x] for x in found)], names)
+        places = np.argsort(rows["_piece"].to_numpy(), kind="stable").tolist()
+        found = _sums(codec(path, pattern), (rows["_ids"][i].values.to_numpy() for i in places))
+        return pa.table([rows["_id"].slice(0, 1), *([x] for x in found)], names)
 
-    whole = pieces.where("whole").select(id_col, "ids").mapInArrow(of_whole, schema)
-    several = pieces.where("not whole").select(id_col, "row", "piece", "ids")
-    return whole.unionByName(several.groupBy("row").applyInArrow(of_pieces, schema))
+    pieces = long.mapInArrow(_encoder(path, pattern), f"_id {kind}, _row string, _piece int, _ids array<int>")
+    whole = short.mapInArrow(of_texts, schema).unionByName(
+        pieces.groupBy("_row").applyInArrow(of_pieces, schema)
+    )
+    return whole.withColumnRenamed("_id", id_col)

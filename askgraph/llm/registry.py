@@ -65,7 +65,7 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return byte_bpe.digest(byte_bpe.encode_texts(table(spark, sf_dir, "documents")))
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
