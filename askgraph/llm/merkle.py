@@ -123,9 +123,12 @@ _BLOCK = "_key string, _block long, _nodes binary, _leaves int, _levels int, _to
 
 
 def _build(rows):
-    """A block's row from its leaves; a tree of several blocks has all levels in each."""
+    """A block's row from its leaves; a tree of several blocks has all levels in each.
+
+    The first of several blocks is full, and a full block has all levels anyway.
+    """
     digests = [d for _, d in sorted(zip(rows["_position"].to_pylist(), rows["_digest"].to_pylist(), strict=True))]
-    levels = LEVELS if rows["_several"][0].as_py() else levels_above(len(digests))
+    levels = LEVELS if rows["_block"][0].as_py() else levels_above(len(digests))
     block = Block.build(digests, levels)
     top = block.nodes[block.places(levels)].tobytes()
     return pa.table(
@@ -148,9 +151,7 @@ def _layers(nodes: DataFrame, name: str) -> list[DataFrame]:
     """
     spark, layers = nodes.sparkSession, []
     while True:
-        width = FAN**LEVELS
-        sizes = nodes.groupBy("_key").agg((F.max("_position") >= width).alias("_several"))
-        placed = nodes.withColumn("_block", F.floor(F.col("_position") / width)).join(sizes, "_key")
+        placed = nodes.withColumn("_block", F.floor(F.col("_position") / FAN**LEVELS))
         blocks = placed.groupBy("_key", "_block").applyInArrow(_build, _BLOCK)
         layers.append(staged(spark, blocks, name))
         if layers[-1].where("_block > 0").isEmpty():
