@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from askgraph.llm import (
-    binary, covertree, mixing, packing, pii, secrets_scan, simhash, substrings, top_k, toxicity,
+    binary, byte_bpe, covertree, merkle, mixing, packing, pii, secrets_scan, simhash, substrings, top_k, toxicity,
 )
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -23,6 +23,8 @@ ON_DOCS = {
     "masking": lambda d, l: secrets_scan.mask_secrets(d),
     "simhash": lambda d, l: simhash.simhash_groups(d),
     "toxicity": lambda d, l: toxicity.toxicity(d, l, steps=2),
+    "manifest": lambda d, l: merkle.audited(d),
+    "byte bpe": lambda d, l: byte_bpe.round_trip(d),
     "personal": lambda d, l: pii.find_personal_data(d),
 }
 ON_VECTORS = {
