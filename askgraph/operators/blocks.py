@@ -136,16 +136,20 @@ def blocked_join(
     )
 
 
-def repeat_rows(rows: DataFrame, count: str, step: int = 10_000) -> DataFrame:
-    """Every row ``count`` times. Two short arrays instead of one as long as the count."""
+def repeat_rows(rows: DataFrame, count: str, number: str | None = None, step: int = 10_000) -> DataFrame:
+    """Every row ``count`` times. Two short arrays instead of one as long as the count.
+
+    With ``number`` the copies of a row are numbered from 1 in a column of that name.
+    """
     zero = F.lit(0).cast("bigint")
     last = F.floor((F.col(count) - 1) / step)
     left = F.col(count) - F.col("_round") * step
-    return (
-        rows.withColumn("_round", F.explode(F.sequence(zero, last)))
-        .withColumn("_copy", F.explode(F.sequence(zero + 1, F.least(left, zero + step))))
-        .drop(count, "_round", "_copy")
+    copies = rows.withColumn("_round", F.explode(F.sequence(zero, last))).withColumn(
+        "_copy", F.explode(F.sequence(zero + 1, F.least(left, zero + step)))
     )
+    if number:
+        copies = copies.withColumn(number, F.col("_round") * step + F.col("_copy"))
+    return copies.drop(count, "_round", "_copy")
 
 
 def with_positions(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -111,16 +111,17 @@ def _number(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
-def _candidates(spark: SparkSession, folder: str, fraction: float = 1.0) -> DataFrame:
-    """Candidates from written links and bags, which are counted and joined."""
+def _links_and_bags(
+    spark: SparkSession, folder: str, fraction: float = 1.0
+) -> tuple[DataFrame, DataFrame]:
+    """Links and bags, written because they are counted and joined."""
     weights, accepted = _weights(spark, folder, fraction)
     links = staged(spark, _links(weights), "links")
-    bags = staged(spark, recommend.open_bags(weights, accepted), "bags")
-    return recommend.candidates(links, bags)
+    return links, staged(spark, recommend.open_bags(weights, accepted), "bags")
 
 
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _candidates(spark, folder)
+    rows = recommend.candidates(*_links_and_bags(spark, folder))
     row = F.concat_ws("|", "question_id", "neighbor_id", F.col("weight").cast("string"))
     return rows.groupBy("user_id").agg(
         F.count("*").alias("n"),
@@ -130,10 +131,7 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, folder: str) -> DataFrame:
-    weights, accepted = _weights(spark, folder)
-    links = staged(spark, _links(weights), "links")
-    bags = staged(spark, recommend.open_bags(weights, accepted), "bags")
-    return recommend.recommendations(links, bags, DOCUMENT_PAGE)
+    return recommend.recommendations(*_links_and_bags(spark, folder), DOCUMENT_PAGE)
 
 
 def _document_digest(documents: DataFrame) -> DataFrame:
@@ -173,12 +171,12 @@ def feed_from_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def candidates_sampled(spark: SparkSession, folder: str) -> DataFrame:
     """The candidates of the sampled analysis, row by row."""
-    return _candidates(spark, folder, FRACTION)
+    return recommend.candidates(*_links_and_bags(spark, folder, FRACTION))
 
 
 def ranked_sampled(spark: SparkSession, folder: str) -> DataFrame:
     """The same with their places in the lists."""
-    return recommend.ranked_candidates(_candidates(spark, folder, FRACTION))
+    return recommend.ranked_candidates(*_links_and_bags(spark, folder, FRACTION))
 
 
 def feed_top5_sampled(spark: SparkSession, folder: str) -> DataFrame:

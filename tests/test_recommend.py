@@ -87,6 +87,39 @@ def test_documents_of_any_length(spark, make_posts, page):
     assert len(rows) == sum(max(1, -(-len(e) // page)) for e in expected.values())
 
 
+@pytest.mark.parametrize(("page", "segment"), [(7, 5), (20, 64), (64, 20), (10_000, 1), (10, 100_000)])
+def test_documents_from_segments_of_lists(make_posts, page, segment):
+    posts = busy(21, users=12, questions=20, answers=200)
+    _, _, links, bags = prepare(make_posts(posts))
+    found = recommend.recommendations(links, bags, page=page, block=5, segment=segment)
+    rows = found.collect()
+    expected = brute.lists(posts)
+    assert documents(found) == expected
+    assert {r["_id"]: len(r["posts"]) for r in rows} == {
+        f"{u}/{p}": min(page, len(e) - p * page) for u, e in expected.items() for p in range(max(1, -(-len(e) // page)))
+    }
+
+
+def test_documents_without_own_questions(make_posts):
+    posts = busy(22)
+    weights, _, links, bags = prepare(make_posts(posts))
+    mine = {(r["user_id"], r["question_id"]) for r in weights.collect()}
+    expected = {u: [e for e in found if (u, e[0]) not in mine] for u, found in brute.lists(posts).items()}
+    assert documents(recommend.recommendations(links, bags, page=9, own=weights, segment=30)) == expected
+    ranked = recommend.ranked_candidates(links, bags, own=weights).collect()
+    assert sorted(map(tuple, ranked)) == sorted((u, i, q, v, w) for u, f in expected.items() for i, (q, v, w) in enumerate(f))
+
+
+def test_bags_of_any_length_in_arrays(spark):
+    rows = [("a", f"q{i}", 1) for i in range(50)] + [("a", "again", 75), ("b", "q1", 2)]
+    bags = spark.createDataFrame(rows, "neighbor_id string, question_id string, repeats long")
+    arrays = recommend.bag_arrays(bags, chunk=10).collect()
+    assert len({(r["neighbor_id"], r["chunk"]) for r in arrays}) == len(arrays) > 10
+    assert max(len(r["entries"]) for r in arrays) < 30
+    found = sorted((e["neighbor_id"], e["question_id"]) for r in arrays for e in r["entries"])
+    assert found == sorted((v, q) for v, q, n in rows for _ in range(n))
+
+
 @pytest.mark.parametrize("block", [3, 2000])
 def test_candidates_in_blocks(make_posts, block):
     posts = crowd(size=25)
