@@ -6,13 +6,16 @@ of a window run through a second such layer, whose pooled state gives the
 window's score. Windows overlap by half, and all of a text's windows are scored.
 The highest window scores of a text and their number make its probability.
 
-The network is trained in numpy on all windows of a bounded sample of labelled
-documents; three quarters of it set the weights, the held-back quarter the final
+The network is trained in numpy on a bounded sample of labelled documents, one
+layer after the other: the lower one on the words of the sample, to tell how
+often a document with the word is toxic, the upper one on all windows. Three
+quarters of the sample set the weights, the held-back quarter the final
 probability and the end of the training.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import pickle
 import re
@@ -30,17 +33,22 @@ WINDOW = 32
 STRIDE = 16
 LETTERS = 20
 #: Labelled documents of each class that training may use.
-SAMPLE = 3000
+SAMPLE = 800
 #: Words that get an embedding of their own, and the least number of documents they are in.
 VOCABULARY, WORD_DOCS = 20_000, 3
 THRESHOLD = 0.7
 #: Words that are scored at a time.
 BATCH_WORDS = 400_000
 #: Epochs at most, epochs without a better held-back loss that end training, weight of toxic windows.
-EPOCHS, PATIENCE, TOXIC_PART = 20, 3, 0.375
+EPOCHS, PATIENCE, TOXIC_PART = 8, 2, 0.375
 #: Rate of the optimizer, halved by each epoch that brings nothing.
 RATE = 0.03
+#: Epochs over the words, documents that a word must be in, share of words seen by their letters alone.
+WORD_EPOCHS, WORD_LEAST, BY_LETTERS = 8, 2, 0.5
+#: Words whose projected vectors a worker keeps.
+KEPT_WORDS = 150_000
 _PIECE_CHARS = 1_000_000
+_models: dict[str, Network] = {}
 _WORD = re.compile(r"\w+")
 _CHARS, _CHAR_DIM, _WORD_DIM, _HIDDEN = 512, 8, 8, 8
 
@@ -196,27 +204,45 @@ class Network:
         Layer.create(p, "low", _CHAR_DIM, rng)
         Layer.create(p, "high", 2 * _HIDDEN + _WORD_DIM, rng)
         p["out"], p["bias"] = np.zeros((2 * _HIDDEN, 1), "f4"), np.zeros(1, "f4")
+        p["word_out"] = (0.3 * rng.standard_normal((2 * _HIDDEN + _WORD_DIM, 1))).astype("f4")
+        p["word_bias"] = np.zeros(1, "f4")
         self.p = p
         self.final = np.array([1.0, 0.0, 0.0, 0.0])
+        self.token = ""
+        self.kept: dict[str, int] = {}
+        self.kept_inputs = np.zeros((0, 6 * _HIDDEN), "f4")
 
     def rows(self, words: list[str]) -> np.ndarray:
         return np.array([self.vocabulary.get(w, 0) for w in words], "i8")
 
-    def projected(self, words: list[str]) -> np.ndarray:
-        """Inputs of the upper layer for each word."""
-        low, high, out = Layer(self.p, "low"), Layer(self.p, "high"), []
+    def vectors(self, words: list[str]) -> np.ndarray:
+        """Pooled letters of each word, then its own embedding."""
+        low, result = Layer(self.p, "low"), np.zeros((len(words), 2 * _HIDDEN + _WORD_DIM), "f4")
         order = np.argsort([len(w) for w in words], kind="stable")
+        projected = low.project(self.p["letters"])
         for start in range(0, len(words), 8192):
-            some = [words[i] for i in order[start : start + 8192]]
+            rows = order[start : start + 8192]
+            some = [words[i] for i in rows]
             letters, mask = letters_of(some)
-            pooled = low.pooled(low.project(self.p["letters"])[letters], mask)
-            vectors = np.concatenate([pooled, self.p["words"][self.rows(some)]], axis=1)
-            out.append(high.project(vectors))
-        result = np.empty((len(words), 6 * _HIDDEN), "f4")
-        if words:
-            result[order] = np.concatenate(out)
+            pooled = low.pooled(projected[letters], mask)
+            result[rows] = np.concatenate([pooled, self.p["words"][self.rows(some)]], axis=1)
         return result
 
+    def projected(self, words: list[str]) -> np.ndarray:
+        """Inputs of the upper layer for each word; those of words met before are kept."""
+        new = [w for w in words if w not in self.kept]
+        if len(self.kept) + len(new) > KEPT_WORDS:
+            self.forget()
+            new = words
+        if new:
+            inputs = Layer(self.p, "high").project(self.vectors(new))
+            self.kept.update(zip(new, range(len(self.kept), len(self.kept) + len(new)), strict=True))
+            self.kept_inputs = np.concatenate([self.kept_inputs, inputs])
+        return self.kept_inputs[np.fromiter(map(self.kept.__getitem__, words), "i8", len(words))]
+
+    def forget(self) -> None:
+        self.kept, self.kept_inputs = {}, np.zeros((0, 6 * _HIDDEN), "f4")
+
     def window_scores(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Scores of all windows of each list of words."""
         known: dict[str, int] = {}
@@ -299,42 +325,58 @@ class Adam:
             self.p[k] -= (self.rate * m / (np.sqrt(s) + 1e-8)).astype("f4")
 
 
-def _train_step(
-    net: Network, adam: Adam, words: list[str], codes: np.ndarray, mask: np.ndarray,
-    target: np.ndarray, weight: np.ndarray, rng: np.random.Generator,
+def _losses(chance: np.ndarray, target: np.ndarray, weight: np.ndarray) -> float:
+    eps = 1e-7
+    return float(-(weight * (target * np.log(chance + eps) + (1 - target) * np.log(1 - chance + eps))).mean())
+
+
+def _word_step(
+    net: Network, adam: Adam, words: list[str], target: np.ndarray, weight: np.ndarray, rng: np.random.Generator
 ) -> float:
-    """One update on windows: codes and mask (time, batch) into the list of words."""
-    p, low, high = net.p, Layer(net.p, "low"), Layer(net.p, "high")
-    used, inverse = np.unique(codes, return_inverse=True)
-    inverse = inverse.reshape(codes.shape)
-    some = [words[i] for i in used]
-    letters, letter_mask = letters_of(some)
-    low_trace, high_trace = {}, {}
+    """One update of the lower layer: from a word's letters and embedding to its target."""
+    p, low, trace = net.p, Layer(net.p, "low"), {}
+    letters, mask = letters_of(words)
     embedded = p["letters"][letters]
-    pooled = low.pooled(low.project(embedded), letter_mask, low_trace)
-    rows = net.rows(some) * (rng.random(len(some)) < 0.7)  # so letters learn as well
+    pooled = low.pooled(low.project(embedded), mask, trace)
+    rows = net.rows(words) * (rng.random(len(words)) >= BY_LETTERS)
     vectors = np.concatenate([pooled, p["words"][rows]], axis=1)
-    states = high.pooled(high.project(vectors)[inverse], mask, high_trace)
-    chance = sigmoid((states @ p["out"] + p["bias"])[:, 0])
+    chance = sigmoid((vectors @ p["word_out"] + p["word_bias"])[:, 0])
     dlogit = (weight * (chance - target) / len(target)).astype("f4")[:, None]
-    g = {"out": states.T @ dlogit, "bias": dlogit.sum(axis=0)}
-    dx = high.back(dlogit @ p["out"].T, high_trace, g)
-    dprojected = np.zeros((len(used), dx.shape[2]), "f4")
-    np.add.at(dprojected, inverse.ravel(), dx.reshape(-1, dx.shape[2]))
-    g["high_w"], g["high_b"] = vectors.T @ dprojected, dprojected.sum(axis=0)
-    dvectors = dprojected @ p["high_w"].T
+    g = {"word_out": vectors.T @ dlogit, "word_bias": dlogit.sum(axis=0)}
+    dvectors = dlogit @ p["word_out"].T
     g["words"] = np.zeros_like(p["words"])
     np.add.at(g["words"], rows, dvectors[:, 2 * _HIDDEN :])
     g["words"][0] = 0
-    dletters = low.back(dvectors[:, : 2 * _HIDDEN], low_trace, g)
+    dletters = low.back(dvectors[:, : 2 * _HIDDEN], trace, g)
     flat = dletters.reshape(-1, dletters.shape[2])
     g["low_w"] = embedded.reshape(-1, _CHAR_DIM).T @ flat
     g["low_b"] = flat.sum(axis=0)
     g["letters"] = np.zeros_like(p["letters"])
     np.add.at(g["letters"], letters.ravel(), flat @ p["low_w"].T)
     adam.step(g)
-    eps = 1e-7
-    return float(-(weight * (target * np.log(chance + eps) + (1 - target) * np.log(1 - chance + eps))).mean())
+    return _losses(chance, target, weight)
+
+
+def _train_step(
+    net: Network, adam: Adam, vectors: np.ndarray, codes: np.ndarray, mask: np.ndarray,
+    target: np.ndarray, weight: np.ndarray, rng: np.random.Generator,
+) -> float:
+    """One update of the upper layer on windows: codes and mask (time, batch) into the words' vectors."""
+    p, high, trace = net.p, Layer(net.p, "high"), {}
+    used, inverse = np.unique(codes, return_inverse=True)
+    inverse = inverse.reshape(codes.shape)
+    some = vectors[used]
+    some[rng.random(len(used)) >= 0.7, 2 * _HIDDEN :] = 0  # so letters count as well
+    states = high.pooled(high.project(some)[inverse], mask, trace)
+    chance = sigmoid((states @ p["out"] + p["bias"])[:, 0])
+    dlogit = (weight * (chance - target) / len(target)).astype("f4")[:, None]
+    g = {"out": states.T @ dlogit, "bias": dlogit.sum(axis=0)}
+    dx = high.back(dlogit @ p["out"].T, trace, g)
+    dprojected = np.zeros((len(used), dx.shape[2]), "f4")
+    np.add.at(dprojected, inverse.ravel(), dx.reshape(-1, dx.shape[2]))
+    g["high_w"], g["high_b"] = some.T @ dprojected, dprojected.sum(axis=0)
+    adam.step(g)
+    return _losses(chance, target, weight)
 
 
 class Corpus:
@@ -364,6 +406,7 @@ class Corpus:
         """Scores of all windows of pieces."""
         if not len(pieces):
             return np.zeros(0, "f4")
+        net.forget()
         return np.concatenate(net.coded_scores(self.words, [self.codes[n] for n in pieces]))
 
     def summaries(self, net: Network, chosen: np.ndarray) -> np.ndarray:
@@ -390,45 +433,103 @@ def likely_toxic(owner: np.ndarray, scores: np.ndarray) -> np.ndarray:
 
 
 def fit_final(features: np.ndarray, target: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton steps with a small ridge."""
-    theta = np.zeros(features.shape[1])
-    ridge = 0.05 * np.eye(features.shape[1])
-    for _ in range(30):
+    """Logistic regression by Newton steps, drawn to the highest window's score as it is."""
+    start = np.array([1.0, 0.0, 0.0, 0.0])
+    ridge = np.diag([0.5, 0.5, 0.5, 0.05])
+
+    def loss(theta: np.ndarray) -> float:
+        logits, apart = features @ theta, theta - start
+        return float((weight * (np.logaddexp(0, logits) - target * logits)).sum() + apart @ ridge @ apart / 2)
+
+    theta, now = start, loss(start)
+    for _ in range(50):
         chance = 1 / (1 + np.exp(-np.clip(features @ theta, -50, 50)))
-        slope = features.T @ (weight * (chance - target)) + ridge @ theta
+        slope = features.T @ (weight * (chance - target)) + ridge @ (theta - start)
         curve = (features.T * (weight * chance * (1 - chance))) @ features + ridge
-        theta -= np.linalg.solve(curve, slope)
+        step = np.linalg.solve(curve, slope)
+        while (after := loss(theta - step)) > now and np.abs(step).max() > 1e-6:
+            step = step / 2
+        if after >= now:
+            break
+        theta, now = theta - step, after
     return theta
 
 
+def documents_with(corpus: Corpus, pieces: np.ndarray) -> np.ndarray:
+    """In how many of the texts of ``pieces`` each word of the corpus is."""
+    last, seen = np.full(len(corpus.words), -1, "i8"), np.zeros(len(corpus.words), "i8")
+    for n in pieces:
+        codes = np.unique(corpus.codes[n])
+        fresh = codes[last[codes] != corpus.owners[n]]
+        last[fresh] = corpus.owners[n]
+        seen[fresh] += 1
+    return seen
+
+
+def train_words(
+    net: Network, words: list[str], in_toxic: np.ndarray, in_clean: np.ndarray, share: float,
+    rng: np.random.Generator, epochs: int = WORD_EPOCHS,
+) -> np.ndarray:
+    """Train the lower layer; returned is how toxic it takes each word to be, as a logit.
+
+    A word's target is the share of toxic texts among those that it is in, drawn
+    a little to the ``share`` among all. Words in few texts say little and weigh
+    little; the letters they have in common with others say more.
+    """
+    found = in_toxic + in_clean
+    target = ((in_toxic + 2 * share) / (found + 2)).astype("f4")
+    weight = np.minimum(found, 20).astype("f4")
+    used = np.flatnonzero(found >= (WORD_LEAST if (found >= WORD_LEAST).sum() > 100 else 1))
+    weight /= max(1e-6, float(weight[used].mean()) if len(used) else 1.0)
+    # Where embeddings begin: by how much a word is in more toxic texts than chance has it.
+    excess = np.clip((in_toxic - found * share) / np.sqrt(found * share + 1), -3, 8) / 2
+    rows = net.rows(words)
+    net.p["words"][rows[rows > 0], 0] = excess[rows > 0]
+    net.p["word_out"][2 * _HIDDEN, 0] = 1.0
+    adam = Adam({k: v for k, v in net.p.items() if not k.startswith("high") and k not in ("out", "bias")}, RATE)
+    lengths = np.array([len(w) for w in words])
+    for epoch in range(epochs):
+        # Words of like length together, in batches of a size that leaves some hundred updates.
+        order = used[np.argsort(lengths[used] + rng.random(len(used)) * 4, kind="stable")]
+        size = int(np.clip(len(order) / 40, 64, 1024))
+        parts = [order[i : i + size] for i in range(0, len(order), size)]
+        losses = [
+            _word_step(net, adam, [words[i] for i in parts[k]], target[parts[k]], weight[parts[k]], rng)
+            for k in rng.permutation(len(parts))
+        ]
+        adam.rate *= 0.75
+        log.info("words, epoch %d: loss %.4f", epoch, float(np.mean(losses)) if losses else 0.0)
+    vectors = net.vectors(words)
+    return (vectors @ net.p["word_out"] + net.p["word_bias"])[:, 0]
+
+
 def train(
     texts: list[str | None], toxic: np.ndarray, prior: float, seed: int = 7, steps: int | None = None
 ) -> Network:
     """Train on labelled texts; ``prior`` is the share of toxic ones among all labelled rows.
 
-    An epoch goes over all windows of the clean texts and, after the first one,
-    over the windows of toxic texts that look toxic, chosen anew from all of
-    them; each toxic text weighs the same. A held-back quarter sets the final
-    probability and ends the training: the weights of its best epoch stay.
-    ``steps`` ends it after so many updates at most.
+    First the lower layer learns from the words. Then an epoch goes over all
+    windows of the clean texts and over the windows of toxic texts that look
+    toxic, chosen anew from all of them, at first by their worst word; each
+    toxic text weighs the same. A held-back quarter sets the final probability
+    and ends the training: the weights of its best epoch stay. ``steps`` ends it
+    after so many updates of the upper layer at most.
     """
     rng = np.random.default_rng(seed)
     toxic = np.asarray(toxic, "f4")
     corpus, back = Corpus(texts), held_back(toxic, rng)
     checked = back if len(np.unique(toxic[back])) == 2 else np.ones(len(toxic), bool)
-    last: dict[int, int] = {}
-    seen = np.zeros(len(corpus.words), "i8")
-    for n in corpus.pieces(~back):
-        fresh = [c for c in np.unique(corpus.codes[n]).tolist() if last.get(c) != corpus.owners[n]]
-        last.update(dict.fromkeys(fresh, corpus.owners[n]))
-        seen[fresh] += 1
+    bad_pieces, good_pieces = (corpus.pieces(~back & (toxic == v)) for v in (1, 0))
+    in_toxic, in_clean = (documents_with(corpus, pieces) for pieces in (bad_pieces, good_pieces))
+    seen = in_toxic + in_clean
     common = [(-seen[c], corpus.words[c]) for c in np.flatnonzero(seen >= WORD_DOCS)]
     net = Network({w: i + 1 for i, (_, w) in enumerate(sorted(common)[:VOCABULARY])}, seed)
-    adam = Adam(net.p, RATE)
+    logits = train_words(net, corpus.words, in_toxic, in_clean, float(toxic[~back].mean()), rng)
+    vectors = net.vectors(corpus.words) if corpus.words else np.zeros((1, 2 * _HIDDEN + _WORD_DIM), "f4")
+    adam = Adam({k: v for k, v in net.p.items() if k.startswith("high") or k in ("out", "bias")}, RATE)
     flat = np.concatenate([*corpus.codes, np.zeros(WINDOW, "i4")])
     at = np.cumsum([0, *map(len, corpus.codes)])
     sizes = np.diff(at)
-    bad_pieces, good_pieces = (corpus.pieces(~back & (toxic == v)) for v in (1, 0))
     bad, good = corpus.windows(bad_pieces), corpus.windows(good_pieces)
     target = toxic[checked]
     share = max(1e-6, float(target.mean()))
@@ -437,9 +538,17 @@ def train(
     best, kept, waited, done = np.inf, None, 0, 0
     limit = np.inf if steps is None else steps
 
+    def worst_words() -> np.ndarray:
+        """The highest logit of a word in each window of the toxic texts, from their mean up."""
+        mask = step < np.minimum(WINDOW, sizes[bad[0]])
+        each = logits[flat[np.minimum(at[bad[0]] + bad[1] + step, len(flat) - 1)]] if len(logits) else 0.0 * mask
+        highest = np.where(mask, each, -np.inf).max(axis=0, initial=-np.inf)
+        finite = highest[np.isfinite(highest)]
+        return highest - (finite.mean() + 2 * finite.std() if len(finite) else 0.0)
+
     for epoch in range(EPOCHS):
         owner = corpus.owners[bad[0]]
-        use = likely_toxic(owner, corpus.scores(net, bad_pieces)) if epoch else np.ones(len(owner), bool)
+        use = likely_toxic(owner, corpus.scores(net, bad_pieces) if epoch else worst_words())
         use &= sizes[bad[0]] > 0
         owner, some = owner[use], sizes[good[0]] > 0
         piece = np.concatenate([bad[0][use], good[0][some]])
@@ -448,7 +557,7 @@ def train(
         weight = np.concatenate([1 / np.bincount(owner)[owner], np.ones(some.sum())])
         for value, part in ((1, TOXIC_PART), (0, 1 - TOXIC_PART)):
             weight[label == value] *= part * len(label) / max(1e-9, weight[label == value].sum())
-        size = int(np.clip(len(label) / 150, 192, 1024))
+        size = int(np.clip(len(label) / 100, 64, 1024))
         order = rng.permutation(len(label))
         for start in range(0, len(order), size):
             if done >= limit:
@@ -456,7 +565,7 @@ def train(
             rows = order[start : start + size]
             mask = step < np.minimum(WINDOW, sizes[piece[rows]])
             index = np.where(mask, flat[np.minimum(first[rows] + step, len(flat) - 1)], 0)
-            _train_step(net, adam, corpus.words, index, mask, label[rows], weight[rows], rng)
+            _train_step(net, adam, vectors, index, mask, label[rows], weight[rows], rng)
             done += 1
         features = corpus.summaries(net, checked)
         final = fit_final(features, target, odds)
@@ -472,6 +581,8 @@ def train(
             break
     if kept:
         net.p, net.final = kept
+    net.forget()
+    net.token = hashlib.sha256(b"".join(net.p[k].tobytes() for k in sorted(net.p))).hexdigest()
     return net
 
 
@@ -515,7 +626,8 @@ def train_on_labels(
             .limit(sample)
         )
         joined = texts.join(F.broadcast(chosen), F.col("_id") == F.col("_label_id"))
-        parts.append(joined.select("_id", "_text", "_toxic"))
+        # One text of an id, so that repeated ids don't enlarge the sample.
+        parts.append(joined.groupBy("_id", "_toxic").agg(F.min("_text").alias("_text")))
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["_id", "_text"], kind="stable")
@@ -537,17 +649,20 @@ def score_toxicity(
     text_col: str = "text",
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """``docs`` with all its columns and ``_score`` (0 to 1) added.
+    """``docs`` with all its columns and ``_score`` (0 to 1) added, in place of one that is there.
 
     A null text counts as empty; texts without words get a score as well. An
     empty table gives no rows. Repeated rows get equal scores.
     """
+    docs = docs.drop("_score")
     schema = docs.select("*", F.lit(0.0).alias("_score")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Tasks of a worker share what it keeps of words met before.
+        net = model if isinstance(model, float) else _models.setdefault(model.token, model)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
-            scores = [model] * len(texts) if isinstance(model, float) else model.probabilities(texts)
+            scores = [net] * len(texts) if isinstance(net, float) else net.probabilities(texts)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "_score"]
             )
