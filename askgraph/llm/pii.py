@@ -39,7 +39,7 @@ PATTERNS = {
     "local_phone": r"(?<![0-9A-Za-z+.(-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9A-Za-z-])",
     "national_id": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
-    "person": r"\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?\x20[A-Z][a-zß-ÿ]{1,20}(?:\x20[A-Z][a-zß-ÿ]{1,20})?\b",
+    "person": r"\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?\x20[A-Z][a-zß-ÿ]++(?:\x20[A-Z][a-zß-ÿ]++)?\b",
 }
 #: What a span of the kind looks like in its strict form.
 STRICT = {

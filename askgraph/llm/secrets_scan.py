@@ -29,10 +29,10 @@ ACCESS = r"AKIA[A-Z0-9]{14,}+"
 HEX = r"[0-9a-f]{16,}+"
 ACCOUNT = (
     r"(?i)\b(?:user(?:name|_?id)?|login|account(?:_?id)?|client_?id|access_?key(?:_?id)?)"
-    r"[\"']?\x20{0,4}[:=]\x20{0,4}[\"']?[A-Za-z0-9@._-]{3,64}"
+    r"[\"']?\x20{0,4}[:=]\x20{0,4}[\"']?[A-Za-z0-9@._-]{3,}+"
 )
-RANDOM = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,128}={0,2}(?![A-Za-z0-9+/_=-])"
-ENDPOINT = r"(?i)\b(?:https?|ftp|ssh|jdbc:[a-z]+|[a-z]+sql|mongodb|redis|amqp)://[^\x20\x09-\x0D\"'<>]{4,200}"
+RANDOM = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}+={0,2}+(?![A-Za-z0-9+/_=-])"
+ENDPOINT = r"(?i)\b(?:https?|ftp|ssh|jdbc:[a-z]+|[a-z]+sql|mongodb|redis|amqp)://[^\x20\x09-\x0D\"'<>]{4,}+"
 MASK = "[secret]"
 
 
