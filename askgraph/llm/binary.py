@@ -74,25 +74,40 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 def packer(capacity: int, pad_id: int):
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["doc_id", "piece", "ids"], kind="stable").reset_index(drop=True)
-        lengths, out = rows["length"].to_numpy(), []
-        for number, members in enumerate(best_fit_decreasing(lengths, capacity)):
-            ids = np.full(capacity, pad_id, "<u2")
-            positions = np.zeros(capacity, "<u2")
-            cuts = np.concatenate([[0], np.cumsum(lengths[members])])
-            for member, start in zip(members, cuts, strict=False):
-                stop = start + lengths[member]
-                ids[start:stop] = np.frombuffer(rows["ids"][member], "<u2")
-                positions[start:stop] = np.arange(stop - start)
-            segments = [
-                {"doc_id": None if pd.isna(d) else int(d), "piece": int(p), "start": int(s)}
-                for d, p, s in rows.loc[members, ["doc_id", "piece", "start"]].itertuples(index=False)
-            ]
-            out.append(
-                (rows["shard"].iloc[0], number, ids.tobytes(), cuts.tolist(), positions.tobytes(), segments)
+        rows = rows.sort_values(["doc_id", "piece", "tie"], kind="stable")
+        lengths = rows["length"].to_numpy()
+        flat = np.frombuffer(b"".join(rows["ids"]), "<u2")
+        begins = np.concatenate([[0], np.cumsum(lengths)])
+        names = rows["doc_id"].tolist()
+        pieces, starts = rows["piece"].tolist(), rows["start"].tolist()
+        ramp = np.arange(capacity, dtype="<u2")
+        sequences = best_fit_decreasing(lengths, capacity)
+        ids = np.full((len(sequences), capacity), pad_id, "<u2")
+        positions = np.zeros((len(sequences), capacity), "<u2")
+        segments, cuts = [], []
+        for number, members in enumerate(sequences):
+            cut = [0]
+            for member in members:
+                at, n = cut[-1], int(lengths[member])
+                ids[number, at : at + n] = flat[begins[member] : begins[member] + n]
+                positions[number, at : at + n] = ramp[:n]
+                cut.append(at + n)
+            cuts.append(cut)
+            segments.append(
+                [
+                    {"doc_id": None if pd.isna(names[m]) else int(names[m]), "piece": pieces[m], "start": starts[m]}
+                    for m in members
+                ]
             )
         return pd.DataFrame(
-            out, columns=["shard", "row", "input_ids", "cu_seqlens", "position_ids", "segments"]
+            {
+                "shard": rows["shard"].iloc[0],
+                "row": np.arange(len(sequences), dtype="i4"),
+                "input_ids": [row.tobytes() for row in ids],
+                "cu_seqlens": cuts,
+                "position_ids": [row.tobytes() for row in positions],
+                "segments": segments,
+            }
         )
 
     return pack
@@ -126,7 +141,7 @@ def packed_matrices(
     cut = pieces(docs, capacity, end_id, path, id_col, text_col, with_ids=True, width=2)
     shard = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)).cast("int")
     return (
-        cut.select("doc_id", "piece", "start", "length", "ids", shard.alias("shard"))
+        cut.select("doc_id", "piece", "start", "length", "ids", F.xxhash64("ids").alias("tie"), shard.alias("shard"))
         .groupBy("shard")
         .applyInPandas(
             packer(capacity, pad_id),
@@ -136,15 +151,14 @@ def packed_matrices(
     )
 
 
-def write_matrices(packed: DataFrame, path: str) -> None:
-    """Write the sequences to Parquet, a folder per shard, rows in the shard's order."""
-    (
-        packed.repartition("shard")
-        .sortWithinPartitions("shard", "row")
-        .write.mode("overwrite")
-        .partitionBy("shard")
-        .parquet(path)
-    )
+def write_matrices(packed: DataFrame, path: str) -> DataFrame:
+    """Write the sequences to Parquet, a folder per shard, rows in the shard's order; the table read back.
+
+    A shard comes out of one task in that order, so nothing is moved for it. An
+    empty table is written as one, with its schema.
+    """
+    packed.write.mode("overwrite").partitionBy("shard").parquet(path)
+    return packed.sparkSession.read.schema(packed.schema).parquet(path).select(packed.columns)
 
 
 def digest(packed: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from askgraph.llm import (
     binary, byte_bpe, covertree, filter_audit, merkle, mixing, packing, pii, secrets_scan, simhash, substrings,
     top_k, toxicity,
 )
-from askgraph.llm.common import table
+from askgraph.llm.common import new_path, table
 
 
 def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return binary.digest(binary.packed_matrices(table(spark, sf_dir, "documents")))
+    packed = binary.packed_matrices(table(spark, sf_dir, "documents"))
+    return binary.digest(binary.write_matrices(packed, new_path(spark, "matrices")))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
