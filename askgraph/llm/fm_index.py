@@ -12,7 +12,7 @@ import io
 
 import numpy as np
 
-#: Suffixes are ordered by so many words, and patterns are at most so long.
+#: Suffixes are ordered by so many words unless said otherwise, and patterns are at most so long.
 ORDER = 128
 
 
@@ -74,18 +74,19 @@ class WaveletMatrix:
 class FMIndex:
     """Index of segments of words. Numbers from 1 stand for words, 0 parts segments."""
 
-    def __init__(self, vocabulary: dict[bytes, int], first: np.ndarray, matrix: WaveletMatrix):
-        self.vocabulary, self.first, self.matrix = vocabulary, first, matrix
+    def __init__(
+        self, vocabulary: dict[bytes, int], first: np.ndarray, matrix: WaveletMatrix, order: int = ORDER
+    ):
+        self.vocabulary, self.first, self.matrix, self.order = vocabulary, first, matrix, order
         self.size = int(first[-1])
 
     @classmethod
-    def build(cls, text: np.ndarray, vocabulary: dict[bytes, int]) -> FMIndex:
-        order = suffix_order(text)
-        transform = text[order - 1]
+    def build(cls, text: np.ndarray, vocabulary: dict[bytes, int], order: int = ORDER) -> FMIndex:
+        transform = text[suffix_order(text, order) - 1]
         symbols = len(vocabulary) + 1
         first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=symbols))])
         bits = max(1, int(symbols).bit_length())
-        return cls(vocabulary, first.astype("i8"), WaveletMatrix.build(transform, bits))
+        return cls(vocabulary, first.astype("i8"), WaveletMatrix.build(transform, bits), order)
 
     def extend(self, words: np.ndarray, low: np.ndarray, high: np.ndarray):
         """Ranges of the patterns with a word in front; unknown words (below 0) give none."""
@@ -107,6 +108,7 @@ class FMIndex:
             levels=np.stack(self.matrix.levels),
             counts=np.stack(self.matrix.counts),
             zeros=self.matrix.zeros,
+            order=np.array(self.order),
         )
         return out.getvalue()
 
@@ -115,7 +117,8 @@ class FMIndex:
         with np.load(io.BytesIO(data)) as x:
             words = x["words"].tobytes().split()
             matrix = WaveletMatrix(list(x["levels"]), list(x["counts"]), x["zeros"])
-            return cls({w: i + 1 for i, w in enumerate(words)}, x["first"].astype("i8"), matrix)
+            vocabulary = {w: i + 1 for i, w in enumerate(words)}
+            return cls(vocabulary, x["first"].astype("i8"), matrix, int(x["order"]))
 
 
 def matched_windows(
@@ -136,6 +139,8 @@ def matched_windows(
     no window around it can match, and the next window that might is tried by a
     few words at its left end, which most windows without a match fail.
     """
+    if window > index.order:
+        raise ValueError(f"the index orders suffixes by {index.order} words; a window has {window}")
     hit = np.zeros(len(text) + 1, bool)
     wanted = last.astype("i8").copy()  # the next window to decide
     left = wanted + probe
@@ -157,7 +162,7 @@ def matched_windows(
         full = running[right[running] - left[running] >= window]
         hit[left[full]] = True
         wanted[full] = left[full] - 1
-        long = full[right[full] - left[full] >= ORDER]
+        long = full[right[full] - left[full] >= index.order]
         restart.append(long)
         for some in restart:
             probing[some] = False

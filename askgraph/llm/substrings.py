@@ -31,11 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from askgraph.llm.common import row_key, staged
-from askgraph.llm.fm_index import FMIndex, matched_windows
+from askgraph.llm.fm_index import ORDER, FMIndex, matched_windows
 
 WINDOW = 35
 GRAM = 8
-SHARD_WORDS = 1_500_000
+SHARD_WORDS = 500_000
+_PARTS = 1 << 20
 LANE = 256
 
 
@@ -112,9 +113,15 @@ def _lanes(first: int, count: int) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.minimum(starts + LANE, first + count) - 1
 
 
-def _search(index: FMIndex, segments: list[list[int]], window: int, least: int) -> list[np.ndarray]:
+def _parted(segments: list[np.ndarray]) -> np.ndarray:
+    """Segments of word numbers in a row, a zero after each."""
+    end = np.zeros(1, "i4")
+    return np.concatenate([x for s in segments for x in (s, end)])
+
+
+def _search(index: FMIndex, segments: list[np.ndarray], window: int, least: int) -> list[np.ndarray]:
     """Flags of the repeated windows of each segment of word numbers."""
-    text = np.fromiter((x for s in segments for x in (*s, 0)), "i8")
+    text = _parted(segments)
     place = np.cumsum([0, *(len(s) + 1 for s in segments)])[:-1]
     counts = [len(s) - window + 1 for s in segments]
     lanes = [_lanes(int(p), c) for p, c in zip(place, counts, strict=True)]
@@ -124,7 +131,7 @@ def _search(index: FMIndex, segments: list[list[int]], window: int, least: int)
     return [hit[p : p + c] for p, c in zip(place, counts, strict=True)]
 
 
-_FOUND = "kind string, shard int, _k1 long, _k2 long, start long, stop long, data binary, anchors array<long>"
+_FOUND = "kind string, shard long, _k1 long, _k2 long, start long, stop long, data binary, anchors array<long>"
 
 
 def _found(rows: list[tuple]) -> pd.DataFrame:
@@ -139,12 +146,11 @@ def shard_indexer(window: int, gram: int):
         rows = rows.sort_values(["_k1", "_k2", "start"], kind="stable")
         shard = int(rows["shard"].iloc[0])
         vocabulary: dict[bytes, int] = {}
-        segments = [
-            [vocabulary.setdefault(w, len(vocabulary) + 1) for w in line.split()]
-            for line in rows["words"]
-        ]
-        text = np.fromiter((x for s in segments for x in (*s, 0)), "i8")
-        index = FMIndex.build(text, vocabulary)
+        segments = []
+        for line in rows["words"]:
+            numbers = (vocabulary.setdefault(w, len(vocabulary) + 1) for w in line.split())
+            segments.append(np.fromiter(numbers, "i4"))
+        index = FMIndex.build(_parted(segments), vocabulary, max(ORDER, window))
         # no nulls in whole-number columns: pandas would turn them into floats
         out = [("index", shard, 0, 0, 0, 0, index.dump(), None)]
         hits = _search(index, segments, window, 2)
@@ -184,7 +190,7 @@ def shard_streamer(window: int):
             known = index.vocabulary
             # one search for all of them: it advances many windows at a time
             runs = [run for data in parcels["runs"] for run in pickle.loads(data)]
-            segments = [[known.get(w, -1) for w in run[3].split()] for run in runs]
+            segments = [np.fromiter((known.get(w, -1) for w in run[3].split()), "i4") for run in runs]
             hits = _search(index, segments, window, 1)
             for (k1, k2, start, _), hit in zip(runs, hits, strict=True):
                 out += [(k1, k2, start + a, start + b + window - 1) for a, b in runs_of(hit)]
@@ -251,15 +257,10 @@ def repeated_spans(
     bases = max(1, math.ceil(total / shard_words))
     placed = per_doc.withColumn("base", F.pmod(F.xxhash64("place"), F.lit(bases)).cast("int"))
     crowds = placed.groupBy("base").agg(F.ceil(F.sum(share) / F.lit(1.5 * shard_words)).alias("parts"))
-    numbers = {row["base"]: max(1, row["parts"]) for row in crowds.collect()}
-    # a few numbers per shard: where its parts start, and how many they are
-    before, table = 0, []
-    for base in range(bases):
-        table += [before, numbers.get(base, 1)]
-        before += numbers.get(base, 1)
-    fixed = F.lit(table) if table else F.array(F.lit(0), F.lit(1))
-    start, parts = F.get(fixed, F.col("base") * 2), F.get(fixed, F.col("base") * 2 + 1)
-    shard = (start + F.pmod(F.xxhash64("_k1", "_k2"), parts)).cast("int")
+    # a shard's number is that of its base and, beside it, that of its part
+    part = F.pmod(F.xxhash64("_k1", "_k2"), F.greatest("parts", F.lit(1)))
+    shard = F.col("base").cast("long") * F.lit(_PARTS) + F.pmod(part, F.lit(_PARTS))
+    placed = placed.join(crowds, "base")
     placed = staged(
         spark, placed.select("_k1", "_k2", "repeated", shard.alias("shard")), "placed"
     )
@@ -269,7 +270,7 @@ def repeated_spans(
         .select("_k1", "_k2", "shard", "text", "repeated")
         .mapInPandas(
             segment_cutter(window, gram),
-            "_k1 long, _k2 long, shard int, start long, windows long, words binary",
+            "_k1 long, _k2 long, shard long, start long, windows long, words binary",
         )
     )
     found = staged(
@@ -297,7 +298,7 @@ def repeated_spans(
         open_.drop("anchors")
         .join(targets, ["_k1", "_k2", "start"])
         .groupBy("shard")
-        .applyInPandas(parcel, "target int, runs binary")
+        .applyInPandas(parcel, "target long, runs binary")
     )
     indexes = found.where("kind = 'index'").select(F.col("shard").alias("target"), "data")
     foreign = (
