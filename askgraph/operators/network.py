@@ -15,12 +15,15 @@ from askgraph.operators.blocks import (
     with_sizes,
 )
 from askgraph.schemas import ANSWER, QUESTION
+from askgraph.session import staged
 
 # What taking part in a question counts for.
 ASKED, ACCEPTED, ANSWERED = 4, 3, 2
 
 # Entries of a list or map in one row; longer ones come in several rows.
 CHUNK = 100_000
+# Maps that are merged at a time.
+FAN = 64
 
 
 def accepted_answers(posts: DataFrame) -> DataFrame:
@@ -173,6 +176,80 @@ def merged_question_weight_maps(
     )
 
 
+def merge_maps_by_key(maps: DataFrame, key: list[str], slot: str, fan: int = FAN) -> DataFrame:
+    """``(*key, users)``: any number of weight maps per key as one.
+
+    ``slot`` numbers the maps of a key, a few at most to a number. Maps of one
+    slot are merged, then ``fan`` slots at a time, until a key has one: a tree,
+    so no task merges more than a few maps of a key, however many it has.
+    """
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<bigint>"))
+
+    def merged(rows: DataFrame) -> DataFrame:
+        union = F.reduce("_maps", none, lambda a, b: merge_weight_maps(a, b))
+        return (
+            rows.groupBy(*key, slot)
+            .agg(F.collect_list("users").alias("_maps"))
+            .select(*key, slot, union.alias("users"))
+        )
+
+    spark = maps.sparkSession
+    while True:
+        maps = staged(spark, merged(maps), "merged-maps")
+        if maps.where(F.col(slot) > 0).isEmpty():
+            return maps.select(*key, "users")
+        maps = maps.withColumn(slot, F.floor(F.col(slot) / fan))
+
+
+def weight_maps_from_posts(
+    posts: DataFrame, accepted: DataFrame, chunk: int = CHUNK, fan: int = FAN
+) -> DataFrame:
+    """``question_weight_maps``, from a map of one entry per post.
+
+    Equal to the maps of summed rows, with the sums made by merging maps. The
+    users of a question with more posts than a map may hold are dealt over
+    several parts first, so that no map outgrows ``chunk`` by far.
+    """
+    chosen = accepted.select(
+        F.col("accepted_answer_id").alias("id"), "question_id", F.lit(True).alias("_chosen")
+    )
+    entries = posts.select(
+        "id", "postTypeId", F.col("ownerUserId").alias("user_id"), _question_of_post().alias("question_id")
+    ).where(F.col("question_id").isNotNull())
+    weight = (
+        F.when(F.col("postTypeId") == QUESTION, ASKED).when(F.col("_chosen"), ACCEPTED).otherwise(ANSWERED)
+    )
+    each = entries.join(chosen, ["id", "question_id"], "left").select(
+        "question_id", "id", "user_id", weight.cast("bigint").alias("weight")
+    )
+    sizes = each.groupBy("question_id").agg(F.count("*").alias("_posts"))
+    parts = F.ceil(F.col("_posts") / chunk)
+    slots = F.ceil(F.col("_posts") / (parts * fan))
+    placed = (
+        each.join(sizes, "question_id")
+        .withColumn("parts", parts)
+        .withColumn("part", F.pmod(F.xxhash64("user_id"), F.col("parts")))
+        .withColumn("slot", F.pmod(F.xxhash64("id"), slots))
+        .select(
+            "question_id", "parts", "part", "slot", F.create_map("user_id", "weight").alias("users")
+        )
+    )
+    maps = merge_maps_by_key(placed, ["question_id", "parts", "part"], "slot", fan)
+    several = maps.where("parts > 1").select(
+        "question_id", F.explode("users").alias("user_id", "weight")
+    )
+    ordered = F.sort_array(F.map_entries("users"))
+    number = F.posexplode(F.sequence(F.lit(0), F.ceil(F.size("users") / chunk).cast("int") - 1)).alias("_at", "chunk")
+    single = maps.where("parts = 1").select("question_id", ordered.alias("_entries"), F.size("users").alias("_n"), number)
+    cut = single.select(
+        "question_id",
+        F.ceil(F.col("_n") / chunk).cast("int").alias("chunks"),
+        "chunk",
+        F.map_from_entries(F.slice("_entries", F.col("chunk") * chunk + 1, F.lit(chunk))).alias("users"),
+    )
+    return cut.unionByName(question_weight_maps(several, chunk))
+
+
 def largest_question(weights: DataFrame) -> int:
     """Users of the most crowded question; one number, for choosing a plan."""
     sizes = weights.groupBy("question_id").agg(F.count("*").alias("_size"))

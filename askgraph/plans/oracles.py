@@ -254,6 +254,10 @@ ORACLES: dict[str, str] = {
         "posts",
     ),
     "feed_from_documents": _sql("select * from top5", "top5"),
+    "feed_requested_from_documents": _sql(
+        "select * from top5 where user_id in (select user_id from requests)", "top5", "requests"
+    ),
+    "question_weight_maps_merged": _sql(_MAPS, "weights"),
     "feed_top5_crowds": _sql("select * from top5", "top5"),
     "feed_top5_sampled": _sql("select * from top5", "top5", entries=_SAMPLED_ENTRIES),
     "candidates_sampled": _sql("select * from listed", "listed", entries=_SAMPLED_ENTRIES),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from askgraph.operators import feed as feeds
 from askgraph.operators import ingest, network, recommend, reports
-from askgraph.session import new_path, staged
+from askgraph.session import new_path, staged, staged_by_key
 from askgraph.sources import corpus
 from askgraph.sources.tables import read_table, write_documents, write_table
 
@@ -22,6 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Small enough that lists of the test tables cross them; the SQL computes the same.
 BAG_CHUNK, MAP_CHUNK, DOCUMENT_PAGE = 20, 3, 1000
+DOCUMENT_BUCKETS, MAP_FAN = 256, 4
 FRACTION = 0.1
 # Users of a question that count as a crowd in the query that goes class by class.
 SMALL_CROWD = 8
@@ -114,10 +115,11 @@ def _number(text: Column) -> Column:
 def _links_and_bags(
     spark: SparkSession, folder: str, fraction: float = 1.0
 ) -> tuple[DataFrame, DataFrame]:
-    """Links and bags, written because they are counted and joined."""
+    """Links by neighbour and bags by owner, written so that they join as they lie."""
     weights, accepted = _weights(spark, folder, fraction)
-    links = staged(spark, _links(weights), "links")
-    return links, staged(spark, recommend.open_bags(weights, accepted), "bags")
+    links = staged_by_key(spark, _links(weights), "links", "neighbor_id")
+    bags = recommend.open_bags(weights, accepted)
+    return links, staged_by_key(spark, bags, "bags", "neighbor_id")
 
 
 def candidates(spark: SparkSession, folder: str) -> DataFrame:
@@ -169,6 +171,18 @@ def feed_from_documents(spark: SparkSession, folder: str) -> DataFrame:
     return feeds.top_of_documents(_stored_documents(spark, folder))
 
 
+def feed_requested_from_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The first five entries for users seen in the event log, from documents stored by user."""
+    path = new_path(spark, "keyed-documents")
+    feeds.write_keyed_documents(_documents(spark, folder), path, DOCUMENT_BUCKETS)
+    return feeds.requested_documents(spark, path, corpus.feed_requests(spark, folder))
+
+
+def question_weight_maps_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The maps per question from one map per post, merged in a tree."""
+    return _maps_as_text(network.weight_maps_from_posts(*_posts(spark, folder), chunk=MAP_CHUNK, fan=MAP_FAN))
+
+
 def candidates_sampled(spark: SparkSession, folder: str) -> DataFrame:
     """The candidates of the sampled analysis, row by row."""
     return recommend.candidates(*_links_and_bags(spark, folder, FRACTION))
@@ -308,6 +322,8 @@ QUERIES: dict[str, Query] = {
         sample_posts,
         answer_participation,
         feed_from_documents,
+        feed_requested_from_documents,
+        question_weight_maps_merged,
         candidates_sampled,
         ranked_sampled,
         feed_top5_sampled,
