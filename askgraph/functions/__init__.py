@@ -6,6 +6,7 @@ from askgraph.functions.columns import (
     required,
     split_tags,
     strict_int,
+    whole_number,
 )
 
-__all__ = ["in_hash_sample", "int_or_zero", "required", "split_tags", "strict_int"]
+__all__ = ["in_hash_sample", "int_or_zero", "required", "split_tags", "strict_int", "whole_number"]

@@ -7,14 +7,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def whole_number(value: Column) -> Column:
+    """A whole-number string as int, null for anything else.
+
+    The digits test keeps blanks out, which a plain cast would trim.
+    """
+    return F.when(value.rlike("^[+-]?[0-9]+$"), value.try_cast("int"))
+
+
 def strict_int(name: str) -> Column:
     """Parse a whole-number string; anything else, null included, fails the job.
 
-    The digits test keeps blanks out, which a plain cast would trim. It does
-    not lean on the session's ANSI setting, so a lenient session is strict too.
+    It does not lean on the session's ANSI setting, so a lenient session is strict too.
     """
     value = F.col(name)
-    parsed = F.when(value.rlike("^[+-]?[0-9]+$"), value.try_cast("int"))
+    parsed = whole_number(value)
     complaint = F.concat(
         F.lit(f"{name}: not a 32-bit whole number: "), F.coalesce(value, F.lit("null"))
     )

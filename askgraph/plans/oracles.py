@@ -175,6 +175,56 @@ _CLEAN_POSTS = """
     from posts"""
 _CLEAN_POSTS = f"select * from ({_CLEAN_POSTS}) c where ownerUserId is not null"
 
+_DIGIT = "substr(md5(id), 1, 1)"
+_ACCEPTED_POSTS = f"select * from ({_CLEAN_POSTS}) a where {_DIGIT} > '3'"
+
+_QUARANTINED = f"""
+    select id, ownerUserId,
+           case {_DIGIT} when '0' then 'score is not a whole number' when '1' then 'body is null'
+                when '2' then 'body is null, score is not a whole number'
+                else 'favoriteCount is not a whole number' end as broken,
+           case {_DIGIT} when '0' then 'n/a' when '2' then null else cast(score as varchar) end as raw_score,
+           case when {_DIGIT} in ('1', '2') then null else body end as raw_body
+    from ({_CLEAN_POSTS}) q where {_DIGIT} <= '3'"""
+
+# Labels of posts: not null first, numbers named as such.
+_RULES = {
+    "rows": "true",
+    "quarantined": "digit <= '3'",
+    "score is not a whole number": "digit in ('0', '2')",
+    "body is null": "digit in ('1', '2')",
+    "favoriteCount is not a whole number": "digit = '3'",
+    **{f"{name} is null": "false" for name in ("id", "postDate", "ownerUserId", "tags")},
+    **{f"{name} is not a whole number": "false" for name in ("postTypeId", "viewCount")},
+}
+_BROKEN_RULES = f"""
+    with p as ({{with_views}} select {_DIGIT} as digit from ({_CLEAN_POSTS}) q)
+    """ + " union all ".join(
+    f"select '{label}' as rule, cast(count(*) filter (where {test}) as bigint) as rows from p"
+    for label, test in _RULES.items()
+)
+
+_SPELLED = {
+    "postTypeId": "post_type_id",
+    "postDate": "creation_date",
+    "ownerUserId": "owner_user_id",
+    "acceptedAnswerId": "accepted_answer_id",
+    "favoriteCount": "favorite_count",
+    "viewCount": "view_count",
+}
+_ABSENT = {
+    "ownerUserId": "cast(id as bigint) % 50 = 7",
+    "favoriteCount": "cast(id as bigint) % 3 = 0",
+    "acceptedAnswerId": "acceptedAnswerId = ''",
+}
+_FIELDS = [*_SPELLED, "id", "title", "body", "tags", "score"]
+_SPELLINGS = "select field, spelling, cast(sum(n) as bigint) as rows from (" + " union all ".join(
+    f"""select '{field}' as field, '{spelling}' as spelling, count(*) as n from questions
+        where {_DIGIT} {half} '8' and not ({_ABSENT.get(field, "false")})"""
+    for field in _FIELDS
+    for half, spelling in (("<", field), (">=", _SPELLED.get(field, field)))
+) + ") s group by field, spelling having sum(n) > 0"
+
 _PARTICIPATION = """select cast(count(*) as bigint) as users,
                   cast(coalesce(sum(case when answers > 5 then 1 else 0 end), 0) as bigint)
                       as active_users,
@@ -263,4 +313,9 @@ ORACLES: dict[str, str] = {
     "candidates_sampled": _sql("select * from listed", "listed", entries=_SAMPLED_ENTRIES),
     "ranked_sampled": _sql(_RANKED, "listed", entries=_SAMPLED_ENTRIES),
     "ingest_posts_mapped": _sql(_CLEAN_POSTS, "posts"),
+    "ingest_posts_spelled": _sql(_CLEAN_POSTS, "posts"),
+    "dump_spellings": _sql(_SPELLINGS, "questions"),
+    "ingest_posts_accepted": _sql(_ACCEPTED_POSTS, "posts"),
+    "quarantined_posts": _sql(_QUARANTINED, "posts"),
+    "broken_rules": _BROKEN_RULES.format(with_views=_sql("", "posts")),
 }

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from askgraph.operators import feed as feeds
-from askgraph.operators import ingest, network, recommend, reports
+from askgraph.operators import contract, ingest, network, recommend, reports
 from askgraph.session import new_path, staged, staged_by_key
-from askgraph.sources import corpus
+from askgraph.sources import corpus, spellings
 from askgraph.sources.tables import read_table, write_documents, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,6 +281,50 @@ def stored_posts(spark: SparkSession, folder: str) -> DataFrame:
     return _tags_as_text(read_table(spark, base, "posts"))
 
 
+def ingest_posts_spelled(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean posts from dumps in two spellings, none of them named."""
+    raw = {
+        name: spellings.read_any_spelling(spark, corpus.mixed_dump(spark, folder, name), name)
+        for name in ("posts_questions", "posts_answers")
+    }
+    return _tags_as_text(ingest.clean_posts(raw["posts_questions"], raw["posts_answers"]))
+
+
+def dump_spellings(spark: SparkSession, folder: str) -> DataFrame:
+    dump = corpus.mixed_dump(spark, folder, "posts_questions")
+    return spellings.spellings_used(spark, dump, "posts_questions")
+
+
+def _sorted_out(spark: SparkSession, folder: str) -> tuple[str, dict[str, int]]:
+    path = new_path(spark, "checked-posts")
+    dumps = {
+        name: corpus.with_faults(corpus.json_dump(spark, folder, name))
+        for name in ("posts_questions", "posts_answers")
+    }
+    return path, contract.sort_out(dumps, path)
+
+
+def ingest_posts_accepted(spark: SparkSession, folder: str) -> DataFrame:
+    """Clean posts of dumps with broken rows, which are set aside."""
+    return _tags_as_text(contract.accepted(spark, _sorted_out(spark, folder)[0], "posts"))
+
+
+def quarantined_posts(spark: SparkSession, folder: str) -> DataFrame:
+    rows = contract.quarantine(spark, _sorted_out(spark, folder)[0], "posts")
+    return rows.select(
+        "id",
+        "ownerUserId",
+        F.array_join("broken", ", ").alias("broken"),
+        F.get_json_object("record", "$.score").alias("raw_score"),
+        F.get_json_object("record", "$.body").alias("raw_body"),
+    )
+
+
+def broken_rules(spark: SparkSession, folder: str) -> DataFrame:
+    counts = _sorted_out(spark, folder)[1]
+    return spark.createDataFrame(list(counts.items()), "rule string, rows long")
+
+
 def peek_questions(spark: SparkSession, folder: str) -> DataFrame:
     questions = ingest.clean_questions(corpus.json_dump(spark, folder, "posts_questions"))
     return reports.peek(questions.select("id", "title", "acceptedAnswerId", "favoriteCount"), "id")
@@ -330,5 +374,10 @@ QUERIES: dict[str, Query] = {
         feed_top5_crowds,
         answer_participation_sampled,
         ingest_posts_mapped,
+        ingest_posts_spelled,
+        dump_spellings,
+        ingest_posts_accepted,
+        quarantined_posts,
+        broken_rules,
     )
 }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +40,9 @@ def get_session(
 
 
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
+# Staged paths and tables per application, oldest first.
+_paths: dict[str, list[str]] = {}
+_tables: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -68,13 +73,40 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _staging_path(spark: SparkSession, name: str) -> str:
+    path = new_path(spark, name)
+    _paths.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+@contextmanager
+def removing_staged(spark: SparkSession) -> Iterator[None]:
+    """Remove on leaving what was staged inside, also after a failure.
+
+    For work whose results are written by then: DataFrames that still read a
+    staged table can't be used afterwards. What was staged before stays.
+    """
+    app = spark.sparkContext.applicationId
+    paths, tables = _paths.setdefault(app, []), _tables.setdefault(app, [])
+    old_paths, old_tables = len(paths), len(tables)
+    try:
+        yield
+    finally:
+        for table in tables[old_tables:]:
+            spark.sql(f"drop table if exists {table}")
+        for path in paths[old_paths:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del paths[old_paths:], tables[old_tables:]
+
+
 def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written table.
 
     For intermediate results that are read several times: the work is not
     repeated per reader, and a lost executor costs a read and not a recompute.
     """
-    path = new_path(spark, name)
+    path = _staging_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -89,8 +121,9 @@ def staged_by_key(
     to that of shuffle partitions, which is the same for tables of one job.
     """
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = new_path(spark, name)
+    path = _staging_path(spark, name)
     table = f"askgraph_{uuid.uuid4().hex}"
+    _tables.setdefault(spark.sparkContext.applicationId, []).append(table)
     (
         df.repartition(buckets, key)
         .write.format("parquet")
