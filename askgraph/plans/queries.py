@@ -199,9 +199,9 @@ def feed_top5_sampled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feed_top5_crowds(spark: SparkSession, folder: str) -> DataFrame:
-    """Everybody's best five, with questions of a few users treated as crowded."""
+    """Everybody's best five, with questions of a few users treated as crowded, class by class."""
     weights, accepted = _weights(spark, folder)
-    return recommend.top_candidates(weights, accepted, crowd=SMALL_CROWD)
+    return recommend.top_candidates(weights, accepted, crowd=SMALL_CROWD, per_class=0)
 
 
 def answer_participation_sampled(spark: SparkSession, folder: str) -> DataFrame:

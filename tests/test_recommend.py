@@ -145,12 +145,13 @@ def busy(seed, users=24, questions=14, answers=120):
 @pytest.mark.parametrize(
     "seed, crowd_size, k", [(1, 8, 5), (2, 12, 5), (3, 1, 3), (4, 15, 1), (5, 100, 5)]
 )
-def test_top_without_the_pairs_of_crowds(make_posts, seed, crowd_size, k):
+@pytest.mark.parametrize("per_class", [0, 2.0])
+def test_top_without_the_pairs_of_crowds(make_posts, seed, crowd_size, k, per_class):
     posts = busy(seed)
     df = make_posts(posts)
     accepted = network.accepted_answers(df)
     weights = network.participation(df, accepted)
-    found = recommend.top_candidates(weights, accepted, k=k, crowd=crowd_size, block=4)
+    found = recommend.top_candidates(weights, accepted, k=k, crowd=crowd_size, block=4, per_class=per_class)
     assert tops(found) == first(brute.lists(posts), k)
 
 
@@ -163,6 +164,30 @@ def test_one_question_of_everybody(make_posts):
     assert tops(found) == first(brute.lists(posts), 5)
 
 
+def test_class_path_is_taken_where_users_are_alike(make_posts, monkeypatch):
+    def paths(posts):
+        df = make_posts(posts)
+        accepted = network.accepted_answers(df)
+        weights = network.participation(df, accepted)
+        taken = []
+        by_class = recommend._links_with_crowds
+        monkeypatch.setattr(
+            recommend, "_links_with_crowds", lambda *a: taken.append("classes") or by_class(*a)
+        )
+        found = recommend.top_candidates(weights, accepted, crowd=4, block=8)
+        assert tops(found) == first(brute.lists(posts), 5)
+        monkeypatch.undo()
+        return taken
+
+    alike = [("q0", 1, "asker", None, ""), ("q1", 1, "asker", None, "")]
+    alike += [(f"a{i}", 2, f"u{i}", "q0", None) for i in range(30)]
+    assert paths(alike) == ["classes"]
+    # user i answered q0 i + 1 times: everyone is a class of their own
+    apart = [("q0", 1, "asker", None, "")]
+    apart += [(f"a{i}-{j}", 2, f"u{i}", "q0", None) for i in range(12) for j in range(i + 1)]
+    assert paths(apart) == []
+
+
 def test_requests_restrict_the_output(spark, make_posts):
     posts = busy(9)
     df = make_posts(posts)
