@@ -16,8 +16,8 @@ Steps 1 and 3 work on one row per source or shard.
 from __future__ import annotations
 
 import heapq
-import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,38 +34,35 @@ CAP = 3.0
 def sainte_lague(votes: list[float], seats: int, most: list[int]) -> list[int]:
     """Seats by highest quotients votes / (2 s + 1), ties to the first, at most ``most`` each.
 
-    The start at the rounded share of each party is where the quotients above
-    the common divisor end; a heap then settles the few seats that rounding
-    left over or gave too many.
+    Bisection finds the least divisor whose rounded votes don't exceed the
+    seats. Each party starts one seat below its own there, so that the last
+    seats, and all ties among them, are settled by comparing quotients.
     """
-    total = sum(votes)
-    if total <= 0 or seats <= 0:
+    if sum(votes) <= 0 or seats <= 0:
         return [0] * len(votes)
     seats = min(seats, sum(most))
-    given = [
-        min(m, max(0, math.floor(v * seats / total + 0.5) - 1))
-        for v, m in zip(votes, most, strict=True)
-    ]
+    voted, bound = np.asarray(votes, "f8"), np.asarray(most, "f8")
+
+    def at(divisor: float) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return np.minimum(bound, np.floor(voted / divisor + 0.5))
+
+    low, high = 0.0, 4.0 * float(voted.max())
+    while low < (middle := (low + high) / 2) < high:
+        if at(middle).sum() > seats:
+            low = middle
+        else:
+            high = middle
+    given = [int(s) for s in np.maximum(at(high) - 1, 0)]
     next_up = [
         (-v / (2 * s + 1), i)
         for i, (v, s, m) in enumerate(zip(votes, given, most, strict=True))
         if s < m
     ]
     heapq.heapify(next_up)
-    last = [(v / (2 * s - 1), -i) for i, (v, s) in enumerate(zip(votes, given, strict=True)) if s]
-    heapq.heapify(last)
-    missing = seats - sum(given)
-    while missing < 0:
-        _, i = heapq.heappop(last)
-        i = -i
-        given[i] -= 1
-        missing += 1
-        if given[i]:
-            heapq.heappush(last, (votes[i] / (2 * given[i] - 1), -i))
-    while missing > 0 and next_up:
+    for _ in range(seats - sum(given)):
         _, i = heapq.heappop(next_up)
         given[i] += 1
-        missing -= 1
         if given[i] < most[i]:
             heapq.heappush(next_up, (-votes[i] / (2 * given[i] + 1), i))
     return given

@@ -173,6 +173,23 @@ def test_mix_comes_near_its_targets(spark):
 def test_seats_by_highest_quotients():
     assert mixing.sainte_lague([53, 24, 23], 7, [9, 9, 9]) == [3, 2, 2]
     assert mixing.sainte_lague([53, 24, 23], 7, [1, 9, 9]) == [1, 3, 3]
+    uneven = mixing.sainte_lague([100.0] + [0.6] * 100, 160, [10**6] * 101)
+    assert (uneven[0], sum(uneven[1:])) == (83, 77)
+    assert mixing.sainte_lague([0.0, 2.0], 5, [9, 3]) == [2, 3]
+
+
+def test_seats_equal_plain_quotients():
+    rng = np.random.default_rng(21)
+    for _ in range(400):
+        n = int(rng.integers(1, 30))
+        scale = rng.choice([1, 10, 10_000], n)
+        votes = [float(v) for v in rng.integers(0, 40, n) * scale / rng.choice([1.0, 3.0])]
+        most = [int(m) for m in rng.integers(0, 60, n)]
+        seats = int(rng.integers(0, 400))
+        quotients = sorted((-v / (2 * s + 1), i) for i, v in enumerate(votes) for s in range(most[i]))
+        counted = Counter(i for _, i in quotients[:seats])
+        expected = [counted[i] if sum(votes) > 0 else 0 for i in range(n)]
+        assert mixing.sainte_lague(votes, seats, most) == expected
 
 
 def test_token_matrices_round_trip(spark):
@@ -338,7 +355,8 @@ def test_personal_data(spark):
         assert set(listed.split(",")) - {""} <= set(rows[i]["spans"].split(","))
 
 
-def test_top_k(spark):
+@pytest.mark.parametrize("rows_each", [30, 5])  # one level of merging, and two
+def test_top_k(spark, rows_each):
     rng = np.random.default_rng(6)
     vectors = rng.normal(size=(150, 6)).round(1).astype("f4")
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
@@ -349,7 +367,7 @@ def test_top_k(spark):
     for q in (i for i in whole if i % 20 == 0):
         scores = sorted((-int(whole[q] @ v), i) for i, v in whole.items() if i != q)[:20]
         expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
-    found = top_k.exact_top_k(df, F.pmod("vec_id", F.lit(20)) == 0, shard_rows=30, query_rows=4)
+    found = top_k.exact_top_k(df, F.pmod("vec_id", F.lit(20)) == 0, shard_rows=rows_each, query_rows=4)
     assert sorted(map(tuple, found.collect())) == sorted(expected)
 
 
