@@ -2,9 +2,9 @@
 
 Vectors are cut into shards and queries into blocks. Each (block, shard) pair
 is a tile: one matrix product and a partial selection of the k best per query.
-The lists of the tiles are merged in a tree: first over groups of shards, then
-over the groups. No task holds more than a tile, and between tiles only k rows
-per query move.
+The lists of the tiles are merged in a tree: level by level, lists of 16
+neighbouring shards or groups become one, until one is left. No task holds more
+than a tile or 16 lists of a query, and between tiles only k rows per query move.
 """
 
 from __future__ import annotations
@@ -176,9 +176,14 @@ def exact_top_k(
         tile_search(k),
         "query_id long, copy string, shard int, best array<struct<score:long,vec_id:long>>",
     )
-    groups = found.withColumn("group", F.floor(F.col("shard") / FAN_IN))
-    first = _merged(groups, ["query_id", "copy", "group"], k)
-    best = _merged(first, ["query_id", "copy"], k)
+    best, left = found.withColumnRenamed("shard", "group"), shards
+    while True:  # a level of the tree each time, at most FAN_IN lists into one
+        best = _merged(
+            best.withColumn("group", F.expr(f"group div {FAN_IN}")), ["query_id", "copy", "group"], k
+        )
+        left = math.ceil(left / FAN_IN)
+        if left == 1:
+            break
     return best.select("query_id", F.posexplode("best").alias("position", "found")).select(
         "query_id",
         (F.col("position") + 1).cast("int").alias("rank"),
