@@ -355,6 +355,52 @@ def test_personal_data(spark):
         assert set(listed.split(",")) - {""} <= set(rows[i]["spans"].split(","))
 
 
+def test_estimates_equal_those_over_single_spans():
+    """Expectation maximisation over every span instead of counts of vote patterns."""
+    rng = np.random.default_rng(17)
+    truth = rng.random(3000) < 0.4
+    votes = np.stack(
+        [np.where(rng.random(3000) < right, truth, ~truth) * 2 - 1 for right in (0.9, 0.75, 0.85)], 1
+    )
+    votes[rng.random(3000) < 0.5, 2] = 0
+    counts = Counter(map(tuple, votes.tolist()))
+    patterns = [
+        dict(zip(pii.LABELERS, v, strict=True), kind="iban", shape=0, n=n) for v, n in counts.items()
+    ]
+    right, _ = pii.estimate(patterns)
+    prior, sure = 0.5, np.full(3, 0.8)
+    for _ in range(pii.ROUNDS):
+        odds = np.log(prior / (1 - prior)) + votes @ np.log(sure / (1 - sure))
+        belief = 1 / (1 + np.exp(-odds))
+        prior = (belief.sum() + 1) / 3002
+        agrees = np.where(votes > 0, belief[:, None], 1 - belief[:, None]) * (votes != 0)
+        sure = (agrees.sum(0) + 4) / ((votes != 0).sum(0) + 5)
+    assert [right["iban", w] for w in pii.LABELERS] == pytest.approx(sure)
+    # near the rates the votes were drawn with
+    assert sure == pytest.approx([0.9, 0.75, 0.85], abs=0.04)
+    by_votes = {tuple(v): b for v, b in zip(votes.tolist(), belief, strict=True)}
+    assert all(p["belief"] == pytest.approx(by_votes[tuple(p[w] for w in pii.LABELERS)]) for p in patterns)
+
+
+def test_check_digits_and_numbers_of_no_one(spark):
+    accounts = {
+        "DE89 3704 0044 0532 0130 00": True, "GB82WEST12345698765432": True,
+        "FR1420041010050500013M02606": True, "DE88 3704 0044 0532 0130 00": False,
+        "GB82WEST12345698765423": False,
+    }
+    df = spark.createDataFrame([(a,) for a in accounts], "a string")
+    assert {r[0]: r[1] for r in df.select("a", pii._check_digits(F.col("a"))).collect()} == accounts
+    known = {
+        "local_phone": {"(212) 736-5000": 1, "199-736-5000": 0, "411-736-5000": 0, "212-555-0123": 0,
+                        "212.555.4123": 1, "293-736-5000": 0, "(212)736-5000": 1, "212-911-5000": 0},
+        "national_id": {"078-05-1120": 0, "212-45-8812": 1, "111-45-8812": 0, "212-45-8888": 0},
+    }
+    for kind, values in known.items():
+        df = spark.createDataFrame([(v,) for v in values], "v string")
+        found = df.select("v", F.col("v").rlike(pii.GAZETTEER[kind]).cast("int")).collect()
+        assert {r[0]: r[1] for r in found} == values
+
+
 @pytest.mark.parametrize("rows_each", [30, 5])  # one level of merging, and two
 def test_top_k(spark, rows_each):
     rng = np.random.default_rng(6)
