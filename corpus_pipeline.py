@@ -22,29 +22,47 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose toxicity score stays below the threshold."""
+    """Documents whose toxicity score stays below the threshold, in all their rows.
+
+    Null and empty texts have a score too. An empty table gives no rows.
+    """
     model = toxicity.train_on_labels(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score_toxicity(docs, model)
     return scored.where(F.col("_score") < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one that gives the group its id.
+    """One document of each SimHash group: the one with the smallest id.
 
-    Of repeated rows one stays. Documents without an id have no group to stand
-    for and stay.
+    Rows take part under a hash of all their columns, so documents without an id
+    and those that share one have groups like others. Ids that are null come
+    last; among equal ids the hash decides, so reruns agree. Of repeated rows one
+    stays. An empty table gives no rows.
     """
-    groups = simhash.simhash_groups(docs)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select(
-        F.col("doc_id").alias("_kept")
+    names = ("_near1", "_near2")
+    keyed = docs.select("*", *(k.alias(n) for k, n in zip(row_key(*docs.columns), names, strict=True)))
+    groups = simhash.simhash_groups(keyed, id_col="_near1").select(
+        F.col("doc_id").alias("_near1"), F.col("component_id").alias("_group")
     )
-    named = docs.where(F.col("doc_id").isNotNull())
-    first = named.join(kept.distinct(), F.col("doc_id") == F.col("_kept"), "left_semi")
-    return first.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull()))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_near1", "_near2")
+    first = (
+        keyed.select("doc_id", "_near1", "_near2")
+        .distinct()
+        .join(groups.distinct(), "_near1")
+        .groupBy("_group")
+        .agg(F.min(order).alias("first"))
+        .select("first._near1", "first._near2")
+        .distinct()
+    )
+    kept = keyed.join(first, ["_near1", "_near2"], "left_semi")
+    return kept.dropDuplicates(["_near1", "_near2"]).select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; reported secrets in the texts give way to a mark."""
+    """All documents; reported secrets in the texts give way to a mark.
+
+    A null text stays null. Repeated rows stay repeated, an empty table empty.
+    """
     masked = secrets_scan.mask_secrets(docs)
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
@@ -92,7 +110,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences: a row per piece."""
+    """Pack what is left into sequences: a row per piece.
+
+    A null text is packed as empty. An empty table gives no rows.
+    """
     return packing.pack_best_fit(docs)
 
 
