@@ -98,9 +98,27 @@ def test_one_document_of_each_group_stays(spark):
     kept = corpus_pipeline.drop_near_copies(spark, docs, "")
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
-    # 2, 3 and 4 have no words, and neither has one document without an id
+    # 2, 3 and 4 have no words, and neither has one of the two documents without an id
     assert sorted(i for i in ids if i is not None) == [1, 2, 5, 6, 2**60 + 1]
-    assert ids.count(None) == 2
+    assert ids.count(None) == 1
+    assert corpus_pipeline.drop_near_copies(spark, docs.where("false"), "").count() == 0
+
+
+def test_groups_of_documents_without_an_id_of_their_own(spark):
+    long = " ".join(f"word{i}" for i in range(300))
+    near = long + " end"
+    rows = [
+        (None, long, "en", "s", 1), (None, near, "en", "s", 1), (None, long, "en", "s", 1),
+        (7, "some other text that is clean and stays here", "en", "s", 1),
+        (7, "one id for two quite different texts of a table", "en", "s", 1),
+        (9, "some other text that is clean and stays here", "fr", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, DOCS)
+    kept = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert {r for r in kept if r[0]} == {rows[3], rows[4]}
+    assert len(kept) == 3 and sum(r[0] is None for r in kept) == 1
+    again = corpus_pipeline.drop_near_copies(spark, docs.repartition(5), "").collect()
+    assert set(kept) == set(map(tuple, again))
 
 
 def test_mixed_documents_come_whole(spark):
