@@ -1,10 +1,13 @@
 """Near-duplicate vectors by dual traversal of cover trees.
 
-Vectors are compared within a label. A label's vectors are dealt by hash over
-shards of bounded size, and each shard becomes a cover tree: nested nets whose
-radii halve from level to level, each node with the exact radius that covers
-what lies below it. Each pair of a label's shards is a task that walks two trees
-at once on the chord distance of unit vectors:
+Vectors are compared within a label. A label with more vectors than a shard
+holds is cut by the upper levels of a cover tree: a node's rows go to the nearest
+center of a net of half its radius, and each child gets the exact radius that
+covers its rows, until nodes fit a shard. Pairs of those nodes are opened level
+by level from the root and dropped where centers and covering radii rule links
+out, so only shards that can hold a pair ever meet. Below, each shard becomes a
+cover tree of the same kind, and each pair of shards left is a task that walks
+two trees at once on the chord distance of unit vectors:
 
 * nodes further apart than the threshold and both radii have no pair below them;
 * nodes closer than the threshold less both radii link all that lies below
@@ -20,10 +23,11 @@ its output is bounded by its input.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from askgraph.llm.common import staged
@@ -33,8 +37,16 @@ from askgraph.llm.top_k import usable
 THRESHOLD = 0.93
 SHARD_ROWS = 2048
 #: Rounding allowance of a bound on chord distances; closer cases are opened.
-SLACK = 1e-9
+SLACK = 1e-7
+#: Upper levels: children of a node, rows its net is drawn from (about), rows a task deals out.
+FAN = 64
+NET_ROWS = 512
+PIECE_ROWS = 16384
+#: After so many levels, or below this radius, a node's rows are dealt to shards by hash.
+LEVELS = 8
+FLAT = 1e-6
 _ROWS = 512
+_HERE = ["label", "dim", "node"]
 
 
 def chord(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -171,27 +183,167 @@ class DualWalk:
         return out
 
 
+def unit(vectors: pd.Series) -> np.ndarray:
+    """Vectors scaled to length 1, a row each."""
+    matrix = np.array(vectors.tolist(), dtype="f8").reshape(len(vectors), -1)
+    matrix /= np.abs(matrix).max(axis=1, keepdims=True)
+    return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+
+
+def _net(fan: int):
+    def net(rows: pd.DataFrame) -> pd.DataFrame:
+        """Centers of a node's children: the furthest row each, until half the radius is covered."""
+        points = unit(rows.sort_values(["draw", "rep"], kind="stable")["vector"])
+        limit = rows["radius"].iloc[0] / 2
+        chosen, away = [0], chord(points, points[:1])[:, 0]
+        while len(chosen) < fan:
+            furthest = int(away.argmax())
+            if away[furthest] <= (limit if len(chosen) > 1 else FLAT):
+                break
+            chosen.append(furthest)
+            away = np.minimum(away, chord(points, points[furthest : furthest + 1])[:, 0])
+        first = rows.iloc[0]
+        return pd.DataFrame(
+            {
+                "label": first["label"],
+                "dim": first["dim"],
+                "node": first["node"],
+                "child": [f"{first['node']}{i:02x}" for i in range(len(chosen))],
+                "center": [points[i].tolist() for i in chosen],
+            }
+        )
+
+    return net
+
+
+def _to_nearest(rows: pd.DataFrame, centers: pd.DataFrame) -> pd.DataFrame:
+    """Rows with the nearest child and their distance to its center."""
+    centers = centers.sort_values("child")
+    if len(rows):
+        away = chord(unit(rows["vector"]), unit(centers["center"]))
+        rows = rows.assign(
+            node=centers["child"].to_numpy()[away.argmin(axis=1)], away=away.min(axis=1)
+        )
+    return rows[["label", "dim", "node", "rep", "n", "vector", "away"]]
+
+
+def upper_levels(
+    spark: SparkSession, classes: DataFrame, shard_rows: int, fan: int = FAN
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows with their shard (node, part), and the nodes of each level.
+
+    Every level is one pass over the rows whose node is still too large. A net
+    is drawn from about ``NET_ROWS`` rows of its node; that shapes shards only,
+    as every row is dealt to a child and counts for its radius. A node is named
+    by the children on the way to it. Crowds that no net can part, and what is
+    left after ``LEVELS``, are dealt to parts of a node by hash.
+    """
+    columns = ["label", "dim", "node", "rep", "n", "vector"]
+    rows = classes.select("*", F.lit("").alias("node"), F.lit(2.0).alias("away")).select(*columns, "away")
+    draw = F.xxhash64("rep", "vector")
+    shards, levels, centers = [], [], None
+    for level in range(LEVELS + 1):
+        sizes = rows.groupBy(*_HERE).agg(F.count("*").alias("size"), F.max("away").alias("radius"))
+        wide = (F.col("size") > shard_rows) & (F.col("radius") > FLAT) & F.lit(level < LEVELS)
+        sizes = sizes.withColumn("wide", wide).withColumn(
+            "parts",
+            F.when(wide, F.lit(1)).otherwise(F.ceil(F.col("size") / F.lit(shard_rows))).cast("int"),
+        )
+        sizes = staged(spark, sizes, "nodes")
+        if centers is None:
+            named = sizes.withColumn("parent", F.lit(None).cast("string")).withColumn(
+                "center", F.lit(None).cast("array<double>")
+            )
+        else:
+            parents = centers.select("label", "dim", F.col("node").alias("parent"), F.col("child").alias("node"), "center")
+            named = sizes.join(parents, _HERE)
+        levels.append(named.select(*_HERE, "parent", "center", "radius", "parts"))
+        sized = rows.join(sizes, _HERE)
+        part = F.pmod(draw, F.col("parts")).cast("int").alias("part")
+        shards.append(sized.where("not wide").select(*columns, part))
+        if sizes.where("wide").isEmpty():
+            break
+        opened = sized.where("wide")
+        every = F.ceil(F.col("size") / F.lit(NET_ROWS))
+        sample = opened.where(F.pmod(F.xxhash64("rep", "vector", F.lit(level)), every) == 0)
+        centers = staged(
+            spark,
+            sample.select(*columns, "radius", draw.alias("draw"))
+            .groupBy(*_HERE)
+            .applyInPandas(_net(fan), "label string, dim int, node string, child string, center array<double>"),
+            "centers",
+        )
+        pieces = F.ceil(F.col("size") / F.lit(PIECE_ROWS))
+        mine = opened.select(*columns, "away", F.pmod(draw, pieces).alias("piece"))
+        theirs = centers.join(sizes.where("wide").select(*_HERE, "size"), _HERE).select(
+            *_HERE, "child", "center", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("piece")
+        )
+        rows = staged(
+            spark,
+            mine.groupBy(*_HERE, "piece")
+            .cogroup(theirs.groupBy(*_HERE, "piece"))
+            .applyInPandas(
+                _to_nearest,
+                "label string, dim int, node string, rep long, n long, vector array<double>, away double",
+            ),
+            "dealt",
+        )
+    return reduce(DataFrame.unionByName, shards), levels
+
+
+def shard_pairs(levels: list[DataFrame], threshold: float) -> DataFrame:
+    """Pairs of shards that can hold a link: label, dim, node and part of either side.
+
+    Starts with each label's root and opens both nodes of a pair at once. A pair
+    of children goes on if their centers are no further apart than the threshold
+    and both covering radii.
+    """
+    limit = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
+    node = F.struct("node", "center", "radius", "parts")
+    pairs = levels[0].select("label", "dim", node.alias("a"), node.alias("b"))
+    dot = F.aggregate(F.zip_with("a.center", "b.center", lambda x, y: x * y), F.lit(0.0), lambda x, y: x + y)
+    away = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * dot))
+    near = away - F.col("a.radius") - F.col("b.radius") <= F.lit(limit + SLACK)
+    same = F.col("a.node") == F.col("b.node")
+    for nodes in levels[1:]:
+        kids = nodes.groupBy("label", "dim", "parent").agg(F.collect_list(node).alias("kids"))
+        for side in ("a", "b"):
+            mine = kids.select(
+                F.col("label").alias("_label"), F.col("dim").alias("_dim"), F.col("parent").alias("_parent"), F.col("kids").alias(f"_{side}")
+            )
+            on = (F.col("label") == F.col("_label")) & (F.col("dim") == F.col("_dim"))
+            pairs = pairs.join(mine, on & (F.col(f"{side}.node") == F.col("_parent")), "left").drop("_label", "_dim", "_parent")
+        pairs = (
+            pairs.withColumn("_same", same)
+            .withColumn("a", F.explode(F.coalesce("_a", F.array("a"))))
+            .withColumn("b", F.explode(F.coalesce("_b", F.array("b"))))
+            .where(same | (near & (~F.col("_same") | (F.col("a.node") < F.col("b.node")))))
+            .select("label", "dim", "a", "b")
+        )
+    part = {side: F.explode(F.sequence(F.lit(0), F.col(f"{side}.parts") - 1)) for side in ("a", "b")}
+    return (
+        pairs.withColumn("part_a", part["a"])
+        .withColumn("part_b", part["b"])
+        .where(~same | (F.col("part_a") <= F.col("part_b")))
+        .select("label", "dim", F.col("a.node").alias("node_a"), "part_a", F.col("b.node").alias("node_b"), "part_b")
+    )
+
+
 def _blob(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("rep", kind="stable")
-    matrix = np.array(rows["vector"].tolist(), dtype="f8").reshape(len(rows), -1)
-    matrix /= np.abs(matrix).max(axis=1, keepdims=True)
-    matrix /= np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
     return pd.DataFrame(
         {
-            "label": [rows["label"].iloc[0]],
-            "dim": [rows["dim"].iloc[0]],
-            "shard": [rows["shard"].iloc[0]],
-            "shards": [rows["shards"].iloc[0]],
+            **{name: [rows[name].iloc[0]] for name in (*_HERE, "part")},
             "reps": [rows["rep"].to_numpy("<i8").tobytes()],
             "weights": [rows["n"].to_numpy("<i8").tobytes()],
-            "matrix": [matrix.tobytes()],
+            "matrix": [unit(rows["vector"]).tobytes()],
         }
     )
 
 
 def pair_walker(threshold: float):
     def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("shard")
+        rows = rows.sort_values(["node", "part"])
         reps = [np.frombuffer(x, "<i8") for x in rows["reps"]]
         weights = [np.frombuffer(x, "<i8") for x in rows["weights"]]
         dim = int(rows["dim"].iloc[0])
@@ -255,31 +407,30 @@ def near_duplicate_vectors(
         .withColumn("dim", F.size("vector")),
         "classes",
     )
-    per_label = classes.groupBy("label", "dim").agg(
-        F.ceil(F.count("*") / F.lit(shard_rows)).cast("int").alias("shards")
-    )
-    dealt = classes.join(per_label, ["label", "dim"]).withColumn(
-        "shard", F.pmod(F.xxhash64("rep", "vector"), F.col("shards")).cast("int")
-    )
+    dealt, levels = upper_levels(spark, classes, shard_rows)
     blobs = staged(
         spark,
-        dealt.groupBy("label", "dim", "shard").applyInPandas(
+        dealt.groupBy(*_HERE, "part").applyInPandas(
             _blob,
-            "label string, dim int, shard int, shards int, reps binary, weights binary, matrix binary",
+            "label string, dim int, node string, part int, reps binary, weights binary, matrix binary",
         ),
         "shards",
     )
-    other = F.explode(F.sequence(F.lit(0), F.col("shards") - 1))
-    pairs = (
-        blobs.select("*", other.alias("other"))
-        .withColumn("low", F.least("shard", "other"))
-        .withColumn("high", F.greatest("shard", "other"))
+    pairs = shard_pairs(levels, threshold)
+    sides = F.array_distinct(
+        F.array(
+            *(
+                F.struct(F.col(f"node_{side}").alias("node"), F.col(f"part_{side}").alias("part"))
+                for side in ("a", "b")
+            )
+        )
     )
+    met = pairs.select("*", F.inline(sides)).join(blobs, [*_HERE, "part"])
     found = staged(
         spark,
-        pairs.drop("other", "shards")
-        .groupBy("label", "dim", "low", "high")
-        .applyInPandas(pair_walker(threshold), "rep long, links long, root long"),
+        met.groupBy("label", "dim", "node_a", "part_a", "node_b", "part_b").applyInPandas(
+            pair_walker(threshold), "rep long, links long, root long"
+        ),
         "pairs",
     )
     counts = found.groupBy(F.col("rep").alias("_rep")).agg(F.sum("links").alias("_links"))

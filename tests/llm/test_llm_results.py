@@ -69,6 +69,59 @@ def test_cover_trees_find_all_links(spark):
     assert sorted(map(tuple, found)) == sorted((i, degree[i], root[i], root[i] == i) for i in stored)
 
 
+def crowd_of_vectors():
+    """Vectors of one label in narrow clusters, far from each other, with copies and scaled copies."""
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(40, 16))
+    rows = [(i, [float(x) for x in centers[i % 40] + rng.normal(size=16) * 0.2], "a") for i in range(900)]
+    rows += [(1000 + i, [x * (i + 1) for x in rows[3][1]], "a") for i in range(130)]
+    rows += [(2000 + i, rows[5][1], "a") for i in range(70)]
+    return rows + [(3000 + i, [float(x) for x in rng.normal(size=16)], "b") for i in range(15)]
+
+
+def test_cover_tree_levels_part_a_large_label(spark):
+    rows = crowd_of_vectors()
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    matrix = np.array([r[1] for r in rows])
+    matrix /= np.sqrt((matrix**2).sum(axis=1, keepdims=True))
+    labels = np.array([r[2] for r in rows])
+    met = (matrix @ matrix.T >= 0.93) & (labels[:, None] == labels[None, :])
+    ids = [r[0] for r in rows]
+    i, j = np.nonzero(np.triu(met, 1))
+    linked = [(ids[a], ids[b]) for a, b in zip(i, j, strict=True)]
+    degree, root = Counter(x for pair in linked for x in pair), least_reachable(ids, linked)
+    found = covertree.near_duplicate_vectors(df, shard_rows=16)
+    assert sorted(map(tuple, found.collect())) == sorted((i, degree[i], root[i], root[i] == i) for i in ids)
+
+
+def test_cover_tree_levels_cover_their_rows_and_prune_pairs(spark):
+    rows = [r for r in crowd_of_vectors() if r[0] < 2000]
+    classes = spark.createDataFrame(
+        [("a", v, i, 1, 16) for i, v, _ in rows], "label string, vector array<double>, rep long, n long, dim int"
+    )
+    dealt, levels = covertree.upper_levels(spark, classes, 16, fan=8)
+    dealt = dealt.collect()
+    assert sorted(r["rep"] for r in dealt) == sorted(r[0] for r in rows)
+    assert len(levels) > 2
+    unit = {i: np.array(v) / np.sqrt(np.dot(v, v)) for i, v, _ in rows}
+    nodes = {r["node"]: r for level in levels[1:] for r in level.collect()}
+    for r in dealt:
+        for stop in range(2, len(r["node"]) + 1, 2):
+            node = nodes[r["node"][:stop]]
+            away = np.sqrt(((unit[r["rep"]] - np.array(node["center"])) ** 2).sum())
+            assert away <= node["radius"] + covertree.SLACK
+    pairs = covertree.shard_pairs(levels, 0.93).collect()
+    kept = {frozenset([(p["node_a"], p["part_a"]), (p["node_b"], p["part_b"])]) for p in pairs}
+    assert len(kept) == len(pairs)
+    shard = {r["rep"]: (r["node"], r["part"]) for r in dealt}
+    for a in unit:
+        for b in unit:
+            if unit[a] @ unit[b] >= 0.93:
+                assert frozenset([shard[a], shard[b]]) in kept
+    shards = len(set(shard.values()))
+    assert len(pairs) < shards * (shards + 1) / 4
+
+
 def test_packing_keeps_every_token(spark):
     from tokenizers import Tokenizer
 
