@@ -190,13 +190,17 @@ def unit(vectors: pd.Series) -> np.ndarray:
     return matrix / np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
 
 
-def _net(fan: int):
+def _net(fan: int, shard_rows: int):
     def net(rows: pd.DataFrame) -> pd.DataFrame:
-        """Centers of a node's children: the furthest row each, until half the radius is covered."""
+        """Centers of a node's children: the furthest row each, until half the radius is covered.
+
+        Not more than twice the children that its rows need, as each costs pairs.
+        """
         points = unit(rows.sort_values(["draw", "rep"], kind="stable")["vector"])
         limit = rows["radius"].iloc[0] / 2
+        most = min(fan, 2 * math.ceil(rows["size"].iloc[0] / shard_rows))
         chosen, away = [0], chord(points, points[:1])[:, 0]
-        while len(chosen) < fan:
+        while len(chosen) < most:
             furthest = int(away.argmax())
             if away[furthest] <= (limit if len(chosen) > 1 else FLAT):
                 break
@@ -268,9 +272,9 @@ def upper_levels(
         sample = opened.where(F.pmod(F.xxhash64("rep", "vector", F.lit(level)), every) == 0)
         centers = staged(
             spark,
-            sample.select(*columns, "radius", draw.alias("draw"))
+            sample.select(*columns, "radius", "size", draw.alias("draw"))
             .groupBy(*_HERE)
-            .applyInPandas(_net(fan), "label string, dim int, node string, child string, center array<double>"),
+            .applyInPandas(_net(fan, shard_rows), "label string, dim int, node string, child string, center array<double>"),
             "centers",
         )
         pieces = F.ceil(F.col("size") / F.lit(PIECE_ROWS))
