@@ -67,7 +67,7 @@ def _spans(text: Column) -> list[Column]:
 
 
 def _linked(rows: DataFrame, scope: int) -> DataFrame:
-    """Weak spans with a complementary part within the scope, a row per text."""
+    """Weak spans with a complementary part within the scope, a row per key."""
     identifiers = F.concat(_part(F.col("access"), "id"), _part(F.col("account"), "id"))
     secrets = F.concat(
         _part(F.col("assign"), "secret"), _part(F.col("hex"), "secret"), _part(F.col("random"), "secret")
@@ -124,9 +124,13 @@ def _linked(rows: DataFrame, scope: int) -> DataFrame:
 
 
 def _scanned(rows: DataFrame, scope: int) -> DataFrame:
-    """Add the array columns ``base`` and ``linked`` to rows with a ``text``."""
+    """Add the array columns ``base`` and ``linked`` to rows with a ``text``.
+
+    Parts meet by a key of the whole row, so that copies of a text with ids of
+    their own are spread.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = rows.select(*(c for c in rows.columns if c != "text"), *row_key("text"), text.alias("_t"))
+    found = rows.select(*(c for c in rows.columns if c != "text"), *row_key(*rows.columns), text.alias("_t"))
     spans = [s.alias(k) for s, k in zip(_spans(F.col("_t")), KINDS, strict=True)]
     found = staged(
         rows.sparkSession, found.select("*", *spans).drop("_t"), "parts"
