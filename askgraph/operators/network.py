@@ -365,13 +365,18 @@ def circles(weights: DataFrame, requests: DataFrame, block: int = BLOCK) -> Data
     """Links of the requested users only: their one-circle networks.
 
     Only the questions of requested users are looked at, so the work follows
-    the request and not the whole network.
+    the request and not the whole network: the rows of the request and of its
+    questions are written once, and counted and joined from there.
     """
+    spark = weights.sparkSession
     asked = weights.join(requests.select("user_id").distinct(), "user_id", "left_semi")
-    mine = asked.select("question_id", "user_id", F.col("weight").alias("own"))
+    mine = staged(
+        spark, asked.select("question_id", "user_id", F.col("weight").alias("own")), "circle-requests"
+    )
     others = weights.join(mine.select("question_id").distinct(), "question_id", "left_semi").select(
         "question_id", F.col("user_id").alias("neighbor_id"), "weight"
     )
+    others = staged(spark, others, "circle-rows")
     met = blocked_join(mine, others, "question_id", "user_id", "neighbor_id", block)
     return (
         met.where(F.col("user_id") != F.col("neighbor_id"))
