@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from askgraph.operators import feed as feeds
 from askgraph.operators import network, recommend
 from askgraph.session import new_path, staged_by_key
+from askgraph.sources import corpus
 from test_network import crowd
 from test_recommend import busy, prepare, tops
 
@@ -60,3 +61,11 @@ def test_maps_of_posts_merge_to_the_maps_of_sums(make_posts, chunk, fan):
 def test_no_posts_give_no_maps(make_posts):
     df = make_posts([])
     assert network.weight_maps_from_posts(df, network.accepted_answers(df)).collect() == []
+
+
+def test_dumps_are_written_compressed(spark, tmp_path):
+    parts = spark.range(40).selectExpr("concat('b', id % 4) as p_brand")
+    parts.write.parquet(str(tmp_path / "part.parquet"))
+    tags = corpus.json_dump(spark, str(tmp_path), "tags")
+    assert all(file.endswith(".json.gz") for file in tags.inputFiles())
+    assert sorted(map(tuple, tags.collect())) == [(f"b{i}", f"b{i}", "10") for i in range(4)]
