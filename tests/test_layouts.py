@@ -69,3 +69,26 @@ def test_dumps_are_written_compressed(spark, tmp_path):
     tags = corpus.json_dump(spark, str(tmp_path), "tags")
     assert all(file.endswith(".json.gz") for file in tags.inputFiles())
     assert sorted(map(tuple, tags.collect())) == [(f"b{i}", f"b{i}", "10") for i in range(4)]
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [re.sub(r"#\d+L?", "", keys) for keys in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+
+
+def test_posts_are_dealt_by_question_only(spark, case):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        weights = network.participation(case, network.accepted_answers(case))
+        assert set(exchanges(weights)) == {"question_id"}
+        kept = staged_by_key(spark, weights, "weights", "question_id", dealt=True)
+        assert exchanges(network.user_links(kept, largest=4)) == ["first, second"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, weights.collect()))
+
+
+def test_an_answer_named_twice_counts_twice(spark, case):
+    accepted = spark.createDataFrame([("q1", "a1"), ("q1", "a1"), ("q1", "a2")], "question_id string, accepted_answer_id string")
+    rows = {tuple(r) for r in network.participation(case, accepted).where("question_id = 'q1'").collect()}
+    assert rows == {("q1", "A", 4, 1), ("q1", "B", 6, 2), ("q1", "C", 3, 1), ("q1", "D", 2, 1)}
