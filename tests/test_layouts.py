@@ -92,3 +92,23 @@ def test_an_answer_named_twice_counts_twice(spark, case):
     accepted = spark.createDataFrame([("q1", "a1"), ("q1", "a1"), ("q1", "a2")], "question_id string, accepted_answer_id string")
     rows = {tuple(r) for r in network.participation(case, accepted).where("question_id = 'q1'").collect()}
     assert rows == {("q1", "A", 4, 1), ("q1", "B", 6, 2), ("q1", "C", 3, 1), ("q1", "D", 2, 1)}
+
+
+def test_links_are_ranked_where_they_are_summed(spark, case):
+    accepted = network.accepted_answers(case)
+    weights = network.participation(case, accepted)
+    heads = recommend.bag_heads(recommend.open_bags(weights, accepted))
+    found = recommend.top_neighbors(weights, heads, k=1, largest=4)
+    assert "first, second" not in exchanges(found)
+    links = {(r.user_id, r.neighbor_id): r.weight for r in network.user_links(weights).collect()}
+    assert found.count() == len({user for user, _ in links})
+    assert all(links[r.user_id, r.neighbor_id] == r.weight for r in found.collect())
+
+
+def test_classes_go_by_their_smallest_user(spark):
+    hot = spark.createDataFrame(
+        [("q", "b", 2), ("q", "a", 2), ("q", "c", 3), ("p", "c", 2), ("q", "d", 2)],
+        "question_id string, user_id string, weight long",
+    )
+    found = recommend._hot_profiles(hot).collect()
+    assert {r.user_id: r.class_id for r in found} == {"a": "a", "b": "a", "d": "a", "c": "c"}
