@@ -34,3 +34,14 @@ def test_extra_columns_leave_out_own_questions(make_posts):
     found = recommend.candidates(links, bags, weights, extra={"more": F.col("weight") + 1})
     plain = recommend.candidates(links, bags, weights).collect()
     assert sorted(map(tuple, found.collect())) == sorted((*r, r[3] + 1) for r in plain)
+
+
+def test_lists_are_dealt_over_as_many_tasks_as_they_need(make_posts, monkeypatch):
+    posts = busy(34)
+    _, _, links, bags = prepare(make_posts(posts))
+    monkeypatch.setattr(recommend, "LISTED", 50)
+    runs, _ = recommend.ranked_groups(links, bags)
+    entries = sum(len(found) for found in brute.lists(posts).values())
+    dealt = re.findall(r"Exchange hashpartitioning\(user_id#\d+, segment#\d+L?, (\d+)\)", str(runs._jdf.queryExecution().executedPlan()))
+    assert dealt == [str(-(-entries // 50))]
+    assert documents(recommend.recommendations(links, bags)) == brute.lists(posts)
