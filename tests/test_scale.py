@@ -45,3 +45,32 @@ def test_lists_are_dealt_over_as_many_tasks_as_they_need(make_posts, monkeypatch
     dealt = re.findall(r"Exchange hashpartitioning\(user_id#\d+, segment#\d+L?, (\d+)\)", str(runs._jdf.queryExecution().executedPlan()))
     assert dealt == [str(-(-entries // 50))]
     assert documents(recommend.recommendations(links, bags)) == brute.lists(posts)
+
+
+def test_maps_are_cut_where_the_weights_lie(spark, make_posts, no_broadcast):
+    df = make_posts(crowd(size=25))
+    weights = network.question_user_weights(df, network.accepted_answers(df))
+    maps = network.question_weight_maps(weights, chunk=4)
+    assert exchanges(maps) == []
+
+
+@pytest.mark.parametrize("whole", [0, 10, 100_000])
+def test_maps_of_crowded_questions_are_the_same(make_posts, whole):
+    df = make_posts(crowd(size=25))
+    weights = network.question_user_weights(df, network.accepted_answers(df))
+
+    def rows(maps):
+        return sorted((r["question_id"], r["chunk"], r["chunks"], sorted(r["users"].items())) for r in maps.collect())
+
+    expected = network._ordered_weight_maps(weights, 4)
+    assert rows(network.question_weight_maps(weights, 4, whole)) == rows(expected)
+
+
+def test_a_null_user_has_a_place_but_no_entry(spark):
+    rows = [("q", None, 4), ("q", "a", 2), ("q", "b", 2), ("p", None, 4)]
+    weights = spark.createDataFrame(rows, "question_id string, user_id string, weight long")
+    found = network.question_weight_maps(weights, chunk=2).collect()
+    assert sorted((r["question_id"], r["chunk"], r["chunks"], dict(r["users"])) for r in found) == [
+        ("q", 0, 2, {"a": 2}),
+        ("q", 1, 2, {"b": 2}),
+    ]
