@@ -74,3 +74,25 @@ def test_a_null_user_has_a_place_but_no_entry(spark):
         ("q", 0, 2, {"a": 2}),
         ("q", 1, 2, {"b": 2}),
     ]
+
+
+def test_strongest_links_deal_no_weights_by_user(spark, make_posts, monkeypatch):
+    df = make_posts(busy(35))
+    weights, accepted, links, _ = prepare(df)
+    kept = staged_by_key(spark, weights, "weights", "question_id", dealt=True)
+    heads = recommend.bag_heads(recommend.open_bags(weights, accepted))
+    monkeypatch.setattr(recommend, "PER_TASK", 20)
+    found = recommend._strongest_links(kept, heads, 5)
+    assert exchanges(found) == ["user_id"]
+    weight = {(r["user_id"], r["neighbor_id"]): r["weight"] for r in links.collect()}
+    offering = {r["neighbor_id"] for r in heads.collect()}
+    best = {}
+    for (u, v), w in weight.items():
+        if v in offering:
+            best.setdefault(u, []).append(w)
+    expected = {
+        (u, v, w)
+        for (u, v), w in weight.items()
+        if v in offering and sum(x > w for x in best[u]) < 5
+    }
+    assert {tuple(r) for r in found.collect()} == expected
