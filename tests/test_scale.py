@@ -96,3 +96,15 @@ def test_strongest_links_deal_no_weights_by_user(spark, make_posts, monkeypatch)
         if v in offering and sum(x > w for x in best[u]) < 5
     }
     assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_crowds_meet_their_sizes_where_they_lie(spark, make_posts, no_broadcast):
+    df = make_posts(crowd(size=25))
+    weights = network.participation(df, network.accepted_answers(df))
+    kept = staged_by_key(spark, weights, "weights", "question_id", dealt=True)
+    ordinary, profiles = recommend._split_crowds(kept, 8, 2000)
+    assert exchanges(ordinary) == []
+    sizes = {}
+    for r in weights.collect():
+        sizes[r["question_id"]] = sizes.get(r["question_id"], 0) + 1
+    assert {r["question_id"] for r in ordinary.collect()} == {q for q, n in sizes.items() if n <= 8}
