@@ -1,9 +1,10 @@
 """A compressed full-text index over words, for many searches at a time.
 
-The Burrows-Wheeler transform of a text lies in a wavelet matrix: one bit vector
-per bit of a word number, with counts every 64 bits. A step of backward search
-takes a pattern's range to the range of the pattern with one more word in front.
-All searches move in step, so that a step is a few array operations.
+The Burrows-Wheeler transform of a text lies in a wavelet matrix of four bits of a
+word number a level: one bit vector per value of these, with counts every 64 bits.
+A step of backward search takes a pattern's range to the range of the pattern with
+one more word in front. All searches move in step, so that a step is a few array
+operations. An index is stored as the digits of its transform.
 """
 
 from __future__ import annotations
@@ -14,6 +15,10 @@ import numpy as np
 
 #: Suffixes are ordered by so many words unless said otherwise, and patterns are at most so long.
 ORDER = 128
+#: Bits of a digit, and the values it takes.
+DIGIT, SIZE = 4, 16
+#: The bits below each of a block's 64 places.
+BELOW = (np.uint64(1) << np.arange(64, dtype="u8")) - np.uint64(1)
 
 
 def suffix_order(text: np.ndarray, words: int = ORDER) -> np.ndarray:
@@ -35,40 +40,51 @@ def suffix_order(text: np.ndarray, words: int = ORDER) -> np.ndarray:
 
 
 class WaveletMatrix:
-    def __init__(self, levels: list[np.ndarray], counts: list[np.ndarray], zeros: np.ndarray):
-        self.levels, self.counts, self.zeros = levels, counts, zeros
+    """A level per digit of the symbols, the upper digits first, each in the order of those above.
+
+    A level has a bit vector per value of its digit. Counts go on from one value
+    to the next, so that a count is a place in the level below.
+    """
+
+    def __init__(self, digits: np.ndarray):
+        self.digits = digits  # (levels, places)
+        places = digits.shape[1]
+        self.blocks = places // 64 + 1
+        padded = np.full(self.blocks * 64, SIZE, "u1")
+        self.levels = []
+        for level in digits:
+            padded[:places] = level
+            bits = [np.packbits(padded == value, bitorder="little").view("<u8") for value in range(SIZE)]
+            bits = np.concatenate(bits)
+            ones = np.bitwise_count(bits)
+            self.levels.append((bits, (np.cumsum(ones, dtype="i4") - ones).astype("i4")))
 
     @classmethod
     def build(cls, values: np.ndarray, bits: int) -> WaveletMatrix:
-        levels, counts, zeros = [], [], []
-        for level in range(bits - 1, -1, -1):
-            bit = ((values >> level) & 1).astype(bool)
-            padded = np.zeros((len(bit) // 64 + 1) * 64, "u1")
-            padded[: len(bit)] = bit
-            words = np.packbits(padded, bitorder="little").view("<u8")
-            levels.append(words)
-            ones = np.bitwise_count(words).astype("i4")
-            counts.append(np.concatenate([[0], np.cumsum(ones)[:-1]]).astype("i4"))
-            zeros.append(len(bit) - int(bit.sum()))
-            values = np.concatenate([values[~bit], values[bit]])
-        return cls(levels, counts, np.array(zeros, "i8"))
-
-    def rank(self, symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Place of the symbol's block plus its number before each end, less the block's start."""
-        start, stop = np.zeros(len(ends), "i8"), ends
-        bits = len(self.levels)
-        for level, (words, counts, zeros) in enumerate(
-            zip(self.levels, self.counts, self.zeros, strict=True)
-        ):
-            bit = ((symbols >> (bits - 1 - level)) & 1).astype(bool)
-            both = np.concatenate([start, stop])
-            block, offset = both >> 6, (both & 63).astype("u8")
-            below = (np.uint64(1) << offset) - np.uint64(1)
-            ones = counts[block] + np.bitwise_count(words[block] & below)
-            twice = np.concatenate([bit, bit])
-            both = np.where(twice, zeros + ones, both - ones)
-            start, stop = both[: len(ends)], both[len(ends) :]
-        return stop - start
+        levels = []
+        for place in range(-(-bits // DIGIT))[::-1]:
+            digit = ((values >> (DIGIT * place)) & (SIZE - 1)).astype("u1")
+            levels.append(digit)
+            values = values[np.argsort(digit, kind="stable")]
+        return cls(np.stack(levels))
+
+    def place(self, symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Where the ends come to lie below the last level, by the symbol's digits.
+
+        For a symbol this grows by its number before an end.
+        """
+        at = ends
+        for level, (bits, counts) in enumerate(self.levels, 1):
+            digit = (symbols >> (DIGIT * (len(self.levels) - level))) & (SIZE - 1)
+            block = digit * self.blocks + (at >> 6)
+            at = counts[block] + np.bitwise_count(bits[block] & BELOW[at & 63])
+        return at
+
+
+def _paired(digits: np.ndarray) -> np.ndarray:
+    """Two digits of a level in a byte."""
+    even = np.pad(digits, ((0, 0), (0, digits.shape[1] % 2)))
+    return even[:, ::2] << DIGIT | even[:, 1::2]
 
 
 class FMIndex:
@@ -79,6 +95,9 @@ class FMIndex:
     ):
         self.vocabulary, self.first, self.matrix, self.order = vocabulary, first, matrix, order
         self.size = int(first[-1])
+        symbols = np.arange(len(first) - 1)
+        #: what leads from a symbol's places in the matrix to those of its suffixes
+        self.shift = first[:-1] - matrix.place(symbols, np.zeros_like(symbols))
 
     @classmethod
     def build(cls, text: np.ndarray, vocabulary: dict[bytes, int], order: int = ORDER) -> FMIndex:
@@ -92,11 +111,9 @@ class FMIndex:
         """Ranges of the patterns with a word in front; unknown words (below 0) give none."""
         known = words >= 0
         symbol = np.where(known, words, 0)
-        ranks = self.matrix.rank(
-            np.concatenate([symbol, symbol]), np.concatenate([low, high])
-        )
-        start = self.first[symbol]
-        low, high = start + ranks[: len(words)], start + ranks[len(words) :]
+        both = self.matrix.place(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
+        shift = self.shift[symbol]
+        low, high = shift + both[: len(words)], shift + both[len(words) :]
         return low, np.where(known, high, low)
 
     def dump(self) -> bytes:
@@ -105,9 +122,7 @@ class FMIndex:
             out,
             words=np.frombuffer(b" ".join(self.vocabulary), "u1"),
             first=self.first.astype("i4"),
-            levels=np.stack(self.matrix.levels),
-            counts=np.stack(self.matrix.counts),
-            zeros=self.matrix.zeros,
+            digits=_paired(self.matrix.digits),
             order=np.array(self.order),
         )
         return out.getvalue()
@@ -116,7 +131,9 @@ class FMIndex:
     def load(cls, data: bytes) -> FMIndex:
         with np.load(io.BytesIO(data)) as x:
             words = x["words"].tobytes().split()
-            matrix = WaveletMatrix(list(x["levels"]), list(x["counts"]), x["zeros"])
+            digits = x["digits"]
+            digits = np.stack([digits >> DIGIT, digits & (SIZE - 1)], 2).reshape(len(digits), -1)
+            matrix = WaveletMatrix(digits[:, : x["first"][-1]])
             vocabulary = {w: i + 1 for i, w in enumerate(words)}
             return cls(vocabulary, x["first"].astype("i8"), matrix, int(x["order"]))
 

@@ -23,7 +23,8 @@ import hashlib
 import math
 import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -119,6 +120,16 @@ def _parted(segments: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([x for s in segments for x in (s, end)])
 
 
+def _all_words(lines: Iterable[bytes]) -> Iterator[bytes]:
+    return chain.from_iterable(map(bytes.split, lines))
+
+
+def _numbered(lines: Iterable[bytes], numbers: Iterator[int]) -> list[np.ndarray]:
+    """The numbers of all words in a row, cut into those of each line."""
+    ends = np.cumsum([line.count(b" ") + 1 for line in lines])
+    return np.split(np.fromiter(numbers, "i4", ends[-1]), ends[:-1])
+
+
 def _search(index: FMIndex, segments: list[np.ndarray], window: int, least: int) -> list[np.ndarray]:
     """Flags of the repeated windows of each segment of word numbers."""
     text = _parted(segments)
@@ -145,11 +156,9 @@ def shard_indexer(window: int, gram: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["_k1", "_k2", "start"], kind="stable")
         shard = int(rows["shard"].iloc[0])
-        vocabulary: dict[bytes, int] = {}
-        segments = []
-        for line in rows["words"]:
-            numbers = (vocabulary.setdefault(w, len(vocabulary) + 1) for w in line.split())
-            segments.append(np.fromiter(numbers, "i4"))
+        words = dict.fromkeys(_all_words(rows["words"]))
+        vocabulary = dict(zip(words, range(1, len(words) + 1), strict=True))
+        segments = _numbered(rows["words"], map(vocabulary.__getitem__, _all_words(rows["words"])))
         index = FMIndex.build(_parted(segments), vocabulary, max(ORDER, window))
         # no nulls in whole-number columns: pandas would turn them into floats
         out = [("index", shard, 0, 0, 0, 0, index.dump(), None)]
@@ -190,7 +199,8 @@ def shard_streamer(window: int):
             known = index.vocabulary
             # one search for all of them: it advances many windows at a time
             runs = [run for data in parcels["runs"] for run in pickle.loads(data)]
-            segments = [np.fromiter((known.get(w, -1) for w in run[3].split()), "i4") for run in runs]
+            lines = [run[3] for run in runs]
+            segments = _numbered(lines, map(known.get, _all_words(lines), repeat(-1)))
             hits = _search(index, segments, window, 1)
             for (k1, k2, start, _), hit in zip(runs, hits, strict=True):
                 out += [(k1, k2, start + a, start + b + window - 1) for a, b in runs_of(hit)]
