@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from askgraph.operators import network, recommend
-from askgraph.session import staged_by_key
+from askgraph.session import staged, staged_by_key
+from askgraph.sources import corpus
 from test_layouts import exchanges
 from test_network import crowd
 from test_recommend import busy, documents, prepare
@@ -108,3 +109,65 @@ def test_crowds_meet_their_sizes_where_they_lie(spark, make_posts, no_broadcast)
     for r in weights.collect():
         sizes[r["question_id"]] = sizes.get(r["question_id"], 0) + 1
     assert {r["question_id"] for r in ordinary.collect()} == {q for q, n in sizes.items() if n <= 8}
+
+
+def test_requests_do_not_deal_the_weights_by_user(spark, make_posts, monkeypatch):
+    weights, accepted, links, _ = prepare(make_posts(busy(36)))
+    kept = staged_by_key(spark, weights, "weights", "question_id", dealt=True)
+    # Nothing tells before the run how few users these are.
+    requests = spark.range(5_000_000).select(F.concat(F.lit("u"), (F.col("id") % 4).cast("string")).alias("user_id"))
+    written, real = [], network.staged_by_key
+
+    def seen(spark, df, *rest, **more):
+        written.extend(exchanges(df))
+        return real(spark, df, *rest, **more)
+
+    monkeypatch.setattr(network, "staged_by_key", seen)
+    found = network.circles(kept, requests).collect()
+    assert "user_id" not in written
+    asked = {f"u{i}" for i in range(4)}
+    assert sorted(map(tuple, found)) == sorted(tuple(r) for r in links.collect() if r["user_id"] in asked)
+
+
+@pytest.mark.parametrize("block", [3, 2000])
+def test_links_of_requests_are_shuffled_once(spark, make_posts, monkeypatch, block):
+    silent = [("closed", 1, "u1", None, "x1"), ("x1", 2, "quiet", "closed", None), ("x2", 2, None, "closed", None)]
+    weights, accepted, links, _ = prepare(make_posts(busy(37) + silent))
+    kept = staged_by_key(spark, weights, "weights", "question_id", dealt=True)
+    heads = recommend.bag_heads(recommend.open_bags(weights, accepted))
+    requests = spark.createDataFrame([("u1",), ("u2",), ("u1",), ("quiet",), (None,)], "user_id string")
+    monkeypatch.setattr(recommend, "PER_TASK", 20)
+    found = recommend._strongest_in_circles(kept, accepted, requests, heads, 5, block)
+    if block == 2000:
+        assert exchanges(found) == ["user_id"]
+    offering = {r["neighbor_id"] for r in heads.collect()}
+    assert "quiet" not in offering
+    rows = [tuple(r) for r in links.collect() if r["user_id"] in {"u1", "u2", "quiet"} and r["neighbor_id"] in offering]
+    assert {tuple(r) for r in found.collect()} == {
+        (u, v, w) for u, v, w in rows if sum(x > w for a, _, x in rows if a == u) < 5
+    }
+
+
+def test_posts_move_to_their_questions_once(spark, tmp_path, no_broadcast):
+    orders = [(i, i % 5, "F" if i % 3 else "O", None) for i in range(40)] + [(None, 1, "F", None), (3, 2, "F", None)]
+    items = [(i % 43, i % 4, i % 7, i % 2, None, "A", "F") for i in range(200)]
+    items += [items[0], items[5], (None, 1, 1, 1, None, "A", "F"), (6, None, 1, 1, None, "A", "F"), (7, None, None, None, None, "A", "F")]
+    tables = {
+        "orders": (orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp"),
+        "lineitem": (items, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp, l_returnflag string, l_linestatus string"),
+    }
+    for name, (rows, kind) in tables.items():
+        rows = [(*r, None) if name == "orders" else r for r in rows]
+        spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/{name}.parquet")
+    plain = corpus.posts(spark, str(tmp_path))
+    accepted = staged(spark, network.accepted_answers(plain), "accepted")
+    ids = [(r["id"], r["parentId"]) for r in corpus.answers(spark, str(tmp_path)).collect()]
+    least = {q: min(i for i, p in ids if p == q) for q in {p for _, p in ids}}
+    assert all(least[r["question_id"]] == r["accepted_answer_id"] for r in accepted.collect())
+    dealt = corpus.posts(spark, str(tmp_path), 4)
+    assert sorted(map(repr, dealt.collect())) == sorted(map(repr, plain.collect()))
+    found = network.participation(dealt, accepted, dealt=True)
+    # Questions, line items and accepted answers of either side; sums need none.
+    assert sorted(exchanges(found)) == ["cast(l_orderkey as string)", "id", "question_id", "question_id"]
+    expected = network.participation(plain, accepted)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
