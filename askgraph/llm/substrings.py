@@ -9,12 +9,12 @@
    size becomes an FM-index over the words of its segments.
 3. Own shard. All segments of a shard stream through its index: backward search
    gives the matching statistics, and a window that occurs twice is repeated.
-4. Other shards. Windows still open, in runs, stream through the other shards
-   that hold one of their anchors, where one occurrence is enough.
+4. Other shards. Windows still open, in runs, stream through other shards, where
+   one occurrence is enough. A shard can only hold a window whose code it has, so
+   the codes of all windows of all shards meet once, and an open window goes to
+   two shards with its code at most: what is sent grows as the open windows do,
+   however many shards share a hot passage. A call takes runs of bounded size.
 5. Words under repeated windows go; everything else of a text stays.
-
-Hot passages are mostly settled in their own shard. What goes to many shards
-is the few windows at their rims that nothing in their own shard repeats.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from askgraph.llm.common import row_key, staged
@@ -39,6 +39,8 @@ GRAM = 8
 SHARD_WORDS = 500_000
 _PARTS = 1 << 20
 LANE = 256
+# Bytes of runs that one call takes, on average, and codes of windows in a row.
+PARCEL, CODES = 8_000_000, 50_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -84,10 +86,10 @@ def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
 def anchor_finder(window: int, gram: int):
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch["anchors"] = [
-                window_anchors(words_of(text), window, gram)[1].tolist() for text in batch["text"]
-            ]
-            yield batch[["_k1", "_k2", "anchors"]]
+            words = [words_of(text) for text in batch["text"]]
+            batch["n_words"] = [len(w) for w in words]
+            batch["anchors"] = [window_anchors(w, window, gram)[1].tolist() for w in words]
+            yield batch[["_k1", "_k2", "n_words", "anchors"]]
 
     return find
 
@@ -142,11 +144,25 @@ def _search(index: FMIndex, segments: list[np.ndarray], window: int, least: int)
     return [hit[p : p + c] for p, c in zip(place, counts, strict=True)]
 
 
-_FOUND = "kind string, shard long, _k1 long, _k2 long, start long, stop long, data binary, anchors array<long>"
+def window_codes(text: np.ndarray, vocabulary: Iterable[bytes], window: int) -> np.ndarray:
+    """A code of each window of word numbers; equal words have equal codes in every shard."""
+    digests = (hashlib.blake2b(word, digest_size=8).digest() for word in vocabulary)
+    codes = np.frombuffer(b"".join([bytes(8), *digests]), "<u8")[text]
+    count = max(0, len(codes) - window + 1)
+    mixed = np.zeros(count, "u8")
+    for k in range(window):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + count]
+    mixed ^= mixed >> np.uint64(31)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(29)
+    return mixed.view("i8")
+
+
+_FOUND = "kind string, shard long, _k1 long, _k2 long, start long, stop long, data binary, codes array<long>"
 
 
 def _found(rows: list[tuple]) -> pd.DataFrame:
-    columns = ["kind", "shard", "_k1", "_k2", "start", "stop", "data", "anchors"]
+    columns = ["kind", "shard", "_k1", "_k2", "start", "stop", "data", "codes"]
     return pd.DataFrame(rows, columns=columns)
 
 
@@ -159,34 +175,51 @@ def shard_indexer(window: int, gram: int):
         words = dict.fromkeys(_all_words(rows["words"]))
         vocabulary = dict(zip(words, range(1, len(words) + 1), strict=True))
         segments = _numbered(rows["words"], map(vocabulary.__getitem__, _all_words(rows["words"])))
-        index = FMIndex.build(_parted(segments), vocabulary, max(ORDER, window))
+        text = _parted(segments)
+        index = FMIndex.build(text, vocabulary, max(ORDER, window))
         # no nulls in whole-number columns: pandas would turn them into floats
         out = [("index", shard, 0, 0, 0, 0, index.dump(), None)]
         hits = _search(index, segments, window, 2)
+        codes = window_codes(text, vocabulary, window)
+        place, held = 0, []
         for (k1, k2, start, line), hit in zip(
             rows[["_k1", "_k2", "start", "words"]].itertuples(index=False), hits, strict=True
         ):
+            own = codes[place : place + len(hit)]
+            place += len(hit) + window  # the segment's last words, and what parts it from the next
+            held.append(own)
             for a, b in runs_of(hit):
                 out.append(("hit", shard, k1, k2, start + a, start + b + window - 1, None, None))
             for a, b in runs_of(~hit):
-                words = line.split()[a : b + window - 1]
-                anchors = np.unique(window_anchors(words, window, gram)[0]).tolist()
-                data = b" ".join(words)
-                out.append(("open", shard, k1, k2, start + a, start + b, data, anchors))
+                data = b" ".join(line.split()[a : b + window - 1])
+                out.append(("open", shard, k1, k2, start + a, start + b, data, own[a:b].tolist()))
+        held = np.unique(np.concatenate(held))
+        for at in range(0, len(held), CODES):
+            out.append(("held", shard, 0, 0, 0, 0, None, held[at : at + CODES].tolist()))
         return _found(out)
 
     return run
 
 
-def parcel(rows: pd.DataFrame) -> pd.DataFrame:
-    """The open runs of a shard, once for each other shard they go to, as one value each."""
-    to: dict[int, list[tuple]] = {}
-    columns = ["_k1", "_k2", "start", "data", "targets"]
-    for *run, targets in rows[columns].itertuples(index=False, name=None):
-        for target in targets:
-            to.setdefault(int(target), []).append(tuple(run))
-    out = [(target, pickle.dumps(runs)) for target, runs in to.items()]
-    return pd.DataFrame(out, columns=["target", "runs"])
+def parcel(window: int):
+    """The open windows of a shard, in runs, for each other shard they go to as one value."""
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        to: dict[int, list[tuple]] = {}
+        columns = ["_k1", "_k2", "start", "windows", "data", "sent"]
+        for k1, k2, start, windows, data, sent in rows[columns].itertuples(index=False, name=None):
+            words = data.split()
+            targets, at = (np.array([s[name] for s in sent], "i8") for name in ("target", "at"))
+            for target in np.unique(targets):
+                flags = np.zeros(windows, bool)
+                flags[at[targets == target]] = True
+                for a, b in runs_of(flags):
+                    run = (k1, k2, start + a, b" ".join(words[a : b + window - 1]))
+                    to.setdefault(int(target), []).append(run)
+        out = [(target, pickle.dumps(runs)) for target, runs in to.items()]
+        return pd.DataFrame(out, columns=["target", "runs"])
+
+    return pack
 
 
 def shard_streamer(window: int):
@@ -242,7 +275,7 @@ def repeated_spans(
     spark = docs.sparkSession
     anchors = staged(
         spark,
-        docs.mapInPandas(anchor_finder(window, gram), "_k1 long, _k2 long, anchors array<long>"),
+        docs.mapInPandas(anchor_finder(window, gram), "_k1 long, _k2 long, n_words long, anchors array<long>"),
         "anchors",
     )
     several = (
@@ -252,17 +285,26 @@ def repeated_spans(
         .where("n > 1")
         .select(F.col("anchor").alias("_several"))
     )
+    distinct = F.array_distinct("anchors")
+    again = F.size("anchors") - F.size(distinct)
     per_doc = staged(
         spark,
-        anchors.select("_k1", "_k2", F.explode(F.array_distinct("anchors")).alias("anchor"))
+        anchors.select("_k1", "_k2", "n_words", again.alias("again"), F.explode(distinct).alias("anchor"))
         .join(several, F.col("anchor") == F.col("_several"))
         .groupBy("_k1", "_k2")
-        .agg(F.collect_set("anchor").alias("repeated"))
+        .agg(
+            F.collect_set("anchor").alias("repeated"),
+            F.max("n_words").alias("n_words"),
+            F.max("again").alias("again"),
+            F.count("*").alias("_found"),
+        )
         .withColumn("place", F.array_min("repeated")),
         "repeated",
     )
-    # an anchor stands for about half its window of words that nothing else covers
-    share = F.size("repeated") * F.lit((window - gram) // 2 + window // 2)
+    # an anchor stands for about half its window of words that nothing else covers, each time it occurs
+    covered = (F.size("repeated") + F.col("again")) * F.lit((window - gram) // 2 + window // 2)
+    equal_rows = F.ceil(F.col("_found") / F.size("repeated"))
+    share = F.least("n_words", covered) * equal_rows
     total = per_doc.agg(F.sum(share)).first()[0] or 0
     bases = max(1, math.ceil(total / shard_words))
     placed = per_doc.withColumn("base", F.pmod(F.xxhash64("place"), F.lit(bases)).cast("int"))
@@ -288,32 +330,60 @@ def repeated_spans(
         segments.groupBy("shard").applyInPandas(shard_indexer(window, gram), _FOUND),
         "indexes",
     )
-    # a row per anchor with the shards that hold it, so that the join keeps a row per open anchor
-    homes = (
-        placed.select(F.explode("repeated").alias("_anchor"), "shard")
-        .groupBy("_anchor")
-        .agg(F.collect_set("shard").alias("homes"))
+    # shards in an order that differs by code, so that no shard comes first for all hot windows
+    held = (
+        found.where("kind = 'held'")
+        .select("shard", F.explode("codes").alias("code"))
+        .repartition("code")
+        .withColumn("_of", F.col("shard").bitwiseXOR(F.col("code")))
+        .groupBy("code")
+        .agg(F.min("_of").alias("_least"), F.max("_of").alias("_most"))
+        .where("_least < _most")
+        .select("code", *[F.col(c).bitwiseXOR(F.col("code")).alias(c) for c in ("_least", "_most")])
+    )
+    open_ = found.where("kind = 'open'").select("_k1", "_k2", "start", "shard", "data", "codes")
+    elsewhere = F.filter(F.array("_least", "_most"), lambda home: home != F.col("shard"))
+    sent = (
+        open_.select("_k1", "_k2", "start", "shard", F.posexplode("codes").alias("at", "code"))
+        .join(held, "code")
+        .select("_k1", "_k2", "start", "shard", "at", F.explode(elsewhere).alias("target"))
+        .groupBy("_k1", "_k2", "start", "shard")
+        .agg(F.collect_list(F.struct("target", "at")).alias("sent"))
+    )
+    leaving = staged(
+        spark,
+        open_.withColumn("windows", F.size("codes"))
+        .drop("codes")
+        .join(sent, ["_k1", "_k2", "start", "shard"]),
+        "open-windows",
     )
-    open_ = found.where("kind = 'open'").select("_k1", "_k2", "start", "shard", "data", "anchors")
-    elsewhere = F.filter("homes", lambda home: home != F.col("shard"))
-    targets = (
-        open_.select("_k1", "_k2", "start", "shard", F.explode("anchors").alias("anchor"))
-        .join(homes, F.col("anchor") == F.col("_anchor"))
-        .select("_k1", "_k2", "start", elsewhere.alias("targets"))
-        .groupBy("_k1", "_k2", "start")
-        .agg(F.array_distinct(F.flatten(F.collect_list("targets"))).alias("targets"))
-        .where(F.size("targets") > 0)
+
+    def calls(size: Column) -> Column:
+        return F.greatest(F.ceil(F.sum(size) / F.lit(PARCEL)), F.lit(1))
+
+    loads = leaving.groupBy("shard").agg(calls(F.length("data") + 16 * F.size("sent")).alias("loads"))
+    load = F.pmod(F.xxhash64("_k1", "_k2", "start"), F.col("loads"))
+    parcels = staged(
+        spark,
+        leaving.join(loads, "shard")
+        .withColumn("load", load)
+        .groupBy("shard", "load")
+        .applyInPandas(parcel(window), "target long, runs binary"),
+        "parcels",
     )
-    parcels = (
-        open_.drop("anchors")
-        .join(targets, ["_k1", "_k2", "start"])
-        .groupBy("shard")
-        .applyInPandas(parcel, "target long, runs binary")
+    parts = parcels.groupBy("target").agg(calls(F.length("runs")).alias("calls"))
+    call = F.pmod(F.xxhash64("runs"), F.col("calls"))
+    parcels = parcels.join(parts, "target").select("target", call.alias("call"), "runs")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("calls") - 1)).alias("call")
+    indexes = (
+        found.where("kind = 'index'")
+        .select(F.col("shard").alias("target"), "data")
+        .join(parts, "target")
+        .select("target", each, "data")
     )
-    indexes = found.where("kind = 'index'").select(F.col("shard").alias("target"), "data")
     foreign = (
-        indexes.groupBy("target")
-        .cogroup(parcels.groupBy("target"))
+        indexes.groupBy("target", "call")
+        .cogroup(parcels.groupBy("target", "call"))
         .applyInPandas(shard_streamer(window), "_k1 long, _k2 long, start long, stop long")
     )
     hits = found.where("kind = 'hit'").select("_k1", "_k2", "start", "stop").unionByName(foreign)
