@@ -1,13 +1,14 @@
 """What keeps shuffles, spills and repeated work of the analytics queries down."""
 
 import re
+import time
 
 import brute
 import pytest
 from pyspark.sql import functions as F
 
 from askgraph.operators import network, recommend
-from askgraph.session import staged, staged_by_key
+from askgraph.session import CLEANUP, staged, staged_by_key
 from askgraph.sources import corpus
 from test_layouts import exchanges
 from test_network import crowd
@@ -171,3 +172,53 @@ def test_posts_move_to_their_questions_once(spark, tmp_path, no_broadcast):
     assert sorted(exchanges(found)) == ["cast(l_orderkey as string)", "id", "question_id", "question_id"]
     expected = network.participation(plain, accepted)
     assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
+
+
+def files_of_shuffles(spark):
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {kept.apply(i).getName() for i in range(kept.size()) if kept.apply(i).getName().startswith("shuffle_")}
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    before = files_of_shuffles(spark)
+    assert staged(spark, rows, "counts").count() == 7
+    staged_by_key(spark, rows, "counts", "k")
+    written = files_of_shuffles(spark) - before
+    until = time.time() + 20
+    while len(written) > 2 and time.time() < until:  # those of count() may stay; files go in the background
+        time.sleep(0.2)
+        written = files_of_shuffles(spark) - before
+    assert len(written) <= 2
+    assert spark.conf.get(CLEANUP, "false") == "false"
+
+
+@pytest.mark.parametrize("whole", [0, 10, 100_000])
+def test_merged_maps_of_crowded_questions_are_the_same(make_posts, whole):
+    df = make_posts([*crowd(size=25), *busy(36)])
+    accepted = network.accepted_answers(df)
+    merged = network.merged_question_weight_maps(df, accepted, 4, whole)
+    maps = network.question_weight_maps(network.question_user_weights(df, accepted), 4)
+
+    def rows(found):
+        return sorted((r["question_id"], r["chunk"], sorted(r["users"].items())) for r in found.collect())
+
+    assert rows(merged) == rows(maps)
+
+
+def test_merged_maps_are_cut_where_the_roles_lie(make_posts, no_broadcast):
+    df = make_posts(crowd(size=25))
+    assert exchanges(network.merged_question_weight_maps(df, network.accepted_answers(df), 4)) == []
+
+
+@pytest.mark.parametrize("met", [1, 2, 8])
+def test_maps_of_a_question_meet_where_they_lie(make_posts, no_broadcast, met):
+    posts = crowd(size=25)  # seven maps of the crowded question
+    df = make_posts(posts)
+    maps = network.question_weight_maps(network.question_user_weights(df, network.accepted_answers(df)), chunk=4)
+    links = network.user_links_from_maps(maps, met)
+    found = links.collect()
+    assert len(found) == len(brute.links(posts))
+    assert {(r["user_id"], r["neighbor_id"]): r["weight"] for r in found} == dict(brute.links(posts))
+    if met == 8:  # the sums alone
+        assert set(exchanges(links)) == {"first, second"}
