@@ -7,12 +7,13 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
+from askgraph.operators import feed as feeds
 from askgraph.operators import network, recommend
 from askgraph.session import CLEANUP, staged, staged_by_key
 from askgraph.sources import corpus
 from test_layouts import exchanges
 from test_network import crowd
-from test_recommend import busy, documents, prepare
+from test_recommend import busy, documents, first, prepare, tops
 
 
 @pytest.fixture
@@ -222,3 +223,28 @@ def test_maps_of_a_question_meet_where_they_lie(make_posts, no_broadcast, met):
     assert {(r["user_id"], r["neighbor_id"]): r["weight"] for r in found} == dict(brute.links(posts))
     if met == 8:  # the sums alone
         assert set(exchanges(links)) == {"first, second"}
+
+
+@pytest.mark.parametrize("crowd_size", [8, 100])
+def test_links_are_worked_off_in_rounds(make_posts, monkeypatch, crowd_size):
+    posts = busy(38)
+    df = make_posts(posts)
+    accepted = network.accepted_answers(df)
+    steps, write = [], recommend.staged
+    monkeypatch.setattr(recommend, "ROUND", 300)
+    monkeypatch.setattr(recommend, "staged", lambda s, rows, name: steps.append(name) or write(s, rows, name))
+    found = recommend.top_candidates(network.participation(df, accepted), accepted, crowd=crowd_size, per_class=0)
+    assert tops(found) == first(brute.lists(posts), 5)
+    assert steps.count("strongest-links" if crowd_size == 100 else "classed-links") > 1
+
+
+def test_posts_shown_are_written_before_they_are_joined(spark, make_posts, monkeypatch):
+    steps, write = [], feeds.staged
+    monkeypatch.setattr(feeds, "staged", lambda s, rows, name: steps.append((name, write(s, rows, name))) or steps[-1][1])
+    columns = "id string, title string, body string, postDate string, ownerUserId string, score int, favoriteCount int, viewCount int"
+    posts = spark.createDataFrame([(f"q{i}", "t", "b", "d", "u", 1, 2, 3) for i in range(5)], columns)
+    kinds = "id string, name string, location string, reputation int, upVotes int, downVotes int, views int"
+    users = spark.createDataFrame([("u", "n", "l", 1, 2, 3, 4)], kinds)
+    top = spark.createDataFrame([("u", 1, "q3", "v", 6)], "user_id string, rank int, question_id string, neighbor_id string, weight long")
+    assert [r["post_title"] for r in feeds.feed(top, posts, users).collect()] == ["t"]
+    assert [(name, shown.count()) for name, shown in steps] == [("shown-posts", 1)]
