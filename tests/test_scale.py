@@ -248,3 +248,15 @@ def test_posts_shown_are_written_before_they_are_joined(spark, make_posts, monke
     top = spark.createDataFrame([("u", 1, "q3", "v", 6)], "user_id string, rank int, question_id string, neighbor_id string, weight long")
     assert [r["post_title"] for r in feeds.feed(top, posts, users).collect()] == ["t"]
     assert [(name, shown.count()) for name, shown in steps] == [("shown-posts", 1)]
+
+
+@pytest.mark.parametrize("segment", [7, 100_000])
+def test_documents_are_worked_off_in_rounds(make_posts, monkeypatch, segment):
+    posts = [*busy(39), ("lone", 1, "solo", None, "")]
+    _, _, links, bags = prepare(make_posts(posts))
+    steps, write = [], recommend.staged
+    monkeypatch.setattr(recommend, "ROUND", 400)
+    monkeypatch.setattr(recommend, "staged", lambda s, rows, name: steps.append(name) or write(s, rows, name))
+    found = recommend.recommendations(links, bags, 5, segment=segment, each=lambda rows: rows.select("*"))
+    assert documents(found) == brute.lists(posts)
+    assert steps.count("documents") > 1
