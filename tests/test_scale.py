@@ -183,14 +183,14 @@ def files_of_shuffles(spark):
 def test_written_steps_leave_no_shuffle_files(spark):
     rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
     before = files_of_shuffles(spark)
-    assert staged(spark, rows, "counts").count() == 7
+    assert len(staged(spark, rows, "counts").collect()) == 7
     staged_by_key(spark, rows, "counts", "k")
     written = files_of_shuffles(spark) - before
     until = time.time() + 20
-    while len(written) > 2 and time.time() < until:  # those of count() may stay; files go in the background
+    while written and time.time() < until:  # files go in the background
         time.sleep(0.2)
         written = files_of_shuffles(spark) - before
-    assert len(written) <= 2
+    assert not written
     assert spark.conf.get(CLEANUP, "false") == "false"
 
 
@@ -222,7 +222,7 @@ def test_maps_of_a_question_meet_where_they_lie(make_posts, no_broadcast, met):
     assert len(found) == len(brute.links(posts))
     assert {(r["user_id"], r["neighbor_id"]): r["weight"] for r in found} == dict(brute.links(posts))
     if met == 8:  # the sums alone
-        assert set(exchanges(links)) == {"first, second"}
+        assert {keys for keys in exchanges(links) if "_mine" not in keys} == {"first, second"}
 
 
 @pytest.mark.parametrize("crowd_size", [8, 100])
